@@ -63,8 +63,12 @@ def read_ledger(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def ledger_quarantine(ledger: DataFrame) -> DataFrame:
-    """Lines that could not be read in full; most carry no series."""
-    return ledger.where(F.col(CORRUPT).isNotNull()).select(SERIES, CORRUPT)
+    """Lines that could not be read in full; most carry no series.
+
+    All columns are kept, because JSON is parsed only for the columns in use
+    and a line counts as corrupt for those alone.
+    """
+    return ledger.where(F.col(CORRUPT).isNotNull())
 
 
 def ledger_latest_valid(ledger: DataFrame) -> DataFrame:
