@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weekcast.functions import clamp_at_zero, epiweek_of, sunday_of
@@ -111,40 +111,44 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     no records; the others two, for the event's week and the one after.  Views
     give no dates, and counts above 95 are spelt out.
     """
-    events = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k")
-    day = F.to_date("ts")
+    sunday = sunday_of(F.to_date("ts"))
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        "event_type",
+        "value",
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        sunday.alias("first"),
+        F.date_add(sunday, 7).alias("second"),
+    )
+    dated = events.select(
+        "*", epiweek_of(F.col("first")).alias("week_1"), epiweek_of(F.col("second")).alias("week_2")
+    )
+    k, value = F.col("k"), F.col("value")
 
-    def record(shift: int, factor: int):
-        sunday = F.date_add(sunday_of(day), shift)
+    def record(day: str, week: str, factor: int) -> Column:
         return F.struct(
-            F.when(F.col("event_type") != "view", F.date_format(sunday, "yyyy-MM-dd")).alias(
-                "week_start"
-            ),
-            epiweek_of(sunday).alias("epiweek"),
-            F.when(k.cast("int") > 95, F.lit("n/a")).otherwise(k).alias("num_ili"),
-            (k.cast("int") * 20 * factor).alias("num_patients"),
-            F.col("value").alias("ili"),
+            F.when(F.col("event_type") != "view", F.col(day).cast("string")).alias("week_start"),
+            F.col(week).alias("epiweek"),
+            F.when(k > 95, "n/a").otherwise(k.cast("string")).alias("num_ili"),
+            (k * 20 * factor).alias("num_patients"),
+            value.alias("ili"),
         )
 
-    records = F.when(F.col("value") >= 1, F.array(record(0, 1), record(7, 2)))
+    records = F.when(value >= 1, F.array(record("first", "week_1", 1), record("second", "week_2", 2)))
     failed = F.col("event_type") == "error"
     envelope = F.struct(
         F.when(failed, -1).otherwise(1).alias("result"),
-        F.when(failed & (F.col("value") >= 10), F.lit("bad request")).alias("message"),
-        F.coalesce(records, F.array().cast(records_type())).alias("epidata"),
+        F.when(failed & (value >= 10), "bad request").alias("message"),
+        F.coalesce(records, F.array().cast(RECORDS)).alias("epidata"),
     )
-    return events.select(
+    return dated.select(
         F.col("event_id").alias("payload_id"),
         F.col("event_type").alias(SERIES),
         F.to_json(envelope).alias("payload"),
     )
 
 
-def records_type() -> str:
-    return (
-        "array<struct<week_start:string,epiweek:int,num_ili:string,num_patients:int,ili:double>>"
-    )
+RECORDS = "array<struct<week_start:string,epiweek:int,num_ili:string,num_patients:int,ili:double>>"
 
 
 def epiweeks(spark: SparkSession, sf_dir: str) -> DataFrame:

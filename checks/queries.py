@@ -45,6 +45,11 @@ def on_panel(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: comparable(fn(inputs.weekly_panel(spark, sf_dir)))
 
 
+def on_stored_panel(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    """For operators that read the panel more than once: aggregate it once."""
+    return lambda spark, sf_dir: comparable(fn(cut_lineage(inputs.weekly_panel(spark, sf_dir))))
+
+
 # --- sources -----------------------------------------------------------------
 
 
@@ -162,7 +167,8 @@ def interval(panel: DataFrame) -> DataFrame:
 
 
 def next_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel, frame = inputs.weekly_panel(spark, sf_dir), _frame(spark, sf_dir)
+    panel = cut_lineage(inputs.weekly_panel(spark, sf_dir))
+    frame = cut_lineage(op.training_frame(panel, layout="series"))
     return op.next_forecast(op.fit_forecaster(frame, FEW_TREES), panel, frame)
 
 
@@ -184,7 +190,8 @@ def _newest_accuracy(panel: DataFrame) -> DataFrame:
 def ledger_append(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> DataFrame:
     """Two runs append to one ledger, which is then read back."""
     path = run_dir(spark, f"ledger-{fmt}")
-    forecasts = inputs.baseline_forecasts(inputs.weekly_panel(spark, sf_dir))
+    panel = cut_lineage(inputs.weekly_panel(spark, sf_dir))
+    forecasts = cut_lineage(inputs.baseline_forecasts(panel))
     for as_of in (AS_OF, LATER):
         src.ledger_append(forecasts, path, as_of, fmt)
     return comparable(src.read_ledger(spark, path, fmt).drop("_corrupt"))
@@ -203,7 +210,8 @@ def gate(panel: DataFrame) -> DataFrame:
 
 def forecast_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "csv")
-    src.forecast_csv(inputs.baseline_forecasts(inputs.weekly_panel(spark, sf_dir)), path)
+    panel = cut_lineage(inputs.weekly_panel(spark, sf_dir))
+    src.forecast_csv(inputs.baseline_forecasts(panel), path)
     types = "series string, week_start date, predicted_ili double, ci_lower double, ci_upper double"
     return comparable(spark.read.schema(types).option("header", True).csv(path))
 
@@ -280,21 +288,21 @@ QUERIES: dict[str, Query] = {
     "fit_forecaster": fit_forecaster,
     "score": score,
     "backtest": backtest,
-    "residual_interval": on_panel(interval),
+    "residual_interval": on_stored_panel(interval),
     "next_forecast": next_forecast,
     "ledger_append": ledger_append,
     "ledger_append_json": lambda spark, sf_dir: ledger_append(spark, sf_dir, "json"),
     "ledger_latest_valid": on_panel(_latest),
-    "forecast_actual_lookup": on_panel(
+    "forecast_actual_lookup": on_stored_panel(
         lambda p: op.forecast_actual_lookup(inputs.ledger(p), p)
     ),
-    "forecast_accuracy": on_panel(_accuracy),
-    "deviation_alerts": on_panel(alerts),
-    "refresh_gate": on_panel(gate),
+    "forecast_accuracy": on_stored_panel(_accuracy),
+    "deviation_alerts": on_stored_panel(alerts),
+    "refresh_gate": on_stored_panel(gate),
     "forecast_csv": forecast_csv,
-    "summary_lines": on_panel(summary),
-    "chart_frame": on_panel(chart),
-    "alert_outputs": on_panel(outputs),
+    "summary_lines": on_stored_panel(summary),
+    "chart_frame": on_stored_panel(chart),
+    "alert_outputs": on_stored_panel(outputs),
     "weekly_run": weekly_report,
     "weekly_run_status": weekly_run_status,
 }

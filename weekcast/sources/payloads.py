@@ -6,6 +6,8 @@ streaming DataFrames as well.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,22 @@ UNKNOWN = "unknown error"
 def _problem(envelope: Column) -> Column:
     """Why an envelope is unusable, or NULL.  Unreadable JSON has no result."""
     refused = ~envelope["result"].eqNullSafe(F.lit(1))
-    empty = F.size(F.coalesce(envelope["epidata"], F.array())) == 0
+    empty = F.coalesce(F.size(envelope["epidata"]), F.lit(0)) <= 0
     return F.when(refused, F.coalesce(envelope["message"], F.lit(UNKNOWN))).when(
         empty, F.lit(NO_DATA)
     )
 
 
+def _from_envelope(col: str, use: Callable[[Column], Column]) -> Column:
+    """An array with ``use(envelope)`` as its only element.
+
+    Binding the envelope as a lambda variable keeps the parse single: a filter
+    on a parsed column is pushed below the projection, and the text would be
+    parsed once for every field the filter and the projection look at.
+    """
+    return F.transform(F.array(F.from_json(F.col(col), PAYLOAD)), use)
+
+
 def payload_rows(payloads: DataFrame, col: str = "payload", strict: bool = False) -> DataFrame:
     """One row per record of every usable envelope; other columns are kept.
 
@@ -31,24 +43,18 @@ def payload_rows(payloads: DataFrame, col: str = "payload", strict: bool = False
     ``strict`` the first one fails the job instead.
     """
     kept = [F.col(c) for c in payloads.columns if c != col]
-    envelope = F.from_json(F.col(col), PAYLOAD)
-    problem = F.col("_problem")
-    opened = payloads.select(*kept, envelope.alias("_envelope")).withColumn(
-        "_problem", _problem(F.col("_envelope"))
-    )
-    records = F.col("_envelope.epidata")
-    if strict:
-        records = F.when(problem.isNull(), records).otherwise(F.raise_error(problem))
-    else:
-        opened = opened.where(problem.isNull())
-    return opened.select(*kept, F.inline(records))
+
+    def records(envelope: Column) -> Column:
+        problem = _problem(envelope)
+        usable = F.when(problem.isNull(), envelope["epidata"])
+        return usable.otherwise(F.raise_error(problem)) if strict else usable
+
+    return payloads.select(*kept, F.inline(F.flatten(_from_envelope(col, records))))
 
 
 def payload_errors(
     payloads: DataFrame, col: str = "payload", key: str = "payload_id"
 ) -> DataFrame:
     """The unusable envelopes with the reason, for a quarantine table."""
-    envelope = F.from_json(F.col(col), PAYLOAD)
-    return payloads.select(F.col(key), _problem(envelope).alias("error")).where(
-        F.col("error").isNotNull()
-    )
+    problems = F.filter(_from_envelope(col, _problem), lambda problem: problem.isNotNull())
+    return payloads.select(F.col(key), F.explode(problems).alias("error"))

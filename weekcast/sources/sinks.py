@@ -89,40 +89,45 @@ def chart_frame(
     accuracy: DataFrame | None = None,
     n: int = CHART_WEEKS,
 ) -> DataFrame:
-    """The data of the forecast chart in long form, one layer per mark type."""
+    """The data of the forecast chart in long form, one layer per mark type.
 
-    def layer(df: DataFrame, name: str, value: Column, **bounds: Column) -> DataFrame:
-        return df.select(
-            SERIES,
-            F.lit(name).alias("layer"),
-            WEEK_START,
+    Each input is read once: the three marks of a comparison come out of one row.
+    """
+    none = F.lit(None).cast("double")
+
+    def mark(layer: str, value: Column, lo: Column = none, hi: Column = none) -> Column:
+        return F.struct(
+            F.lit(layer).alias("layer"),
+            F.col(WEEK_START).alias(WEEK_START),
             value.alias("value"),
-            *[bound.alias(end) for end, bound in bounds.items()],
+            lo.alias("lo"),
+            hi.alias("hi"),
         )
 
+    def marks(df: DataFrame, *layers: Column) -> DataFrame:
+        return df.select(SERIES, F.inline(F.array(*layers)))
+
     predicted, actual = F.col("predicted_ili"), F.col("actual_ili")
-    ahead = forecasts.where(predicted.isNotNull())
-    layers = [
-        layer(ahead, "forecast", predicted, lo=F.col("ci_lower"), hi=F.col("ci_upper")),
-        layer(newest_rows(panel, n), "history", F.col(TARGET)),
-    ]
-    if accuracy is not None:
-        both = accuracy.where(F.col("status") == "matched")
-        layers += [
-            layer(both, "prior_forecast", predicted),
-            layer(both, "actual", actual),
-            layer(
-                both,
-                "difference",
-                actual - predicted,
-                lo=F.least(predicted, actual),
-                hi=F.greatest(predicted, actual),
-            ),
-        ]
-    chart = layers[0]
-    for other in layers[1:]:
-        chart = chart.unionByName(other, allowMissingColumns=True)
-    return chart
+    chart = marks(newest_rows(panel, n), mark("history", F.col(TARGET))).unionByName(
+        marks(
+            forecasts.where(predicted.isNotNull()),
+            mark("forecast", predicted, F.col("ci_lower"), F.col("ci_upper")),
+        )
+    )
+    if accuracy is None:
+        return chart
+    both = marks(
+        accuracy.where(F.col("status") == "matched"),
+        mark("prior_forecast", predicted),
+        mark("actual", actual),
+        mark(
+            "difference",
+            actual - predicted,
+            F.least(predicted, actual),
+            F.greatest(predicted, actual),
+        ),
+    )
+    return chart.unionByName(both)
 
 
 def alert_outputs(accuracy: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
