@@ -17,7 +17,8 @@ from weekcast.operators import (
     seasonal_features,
     training_frame,
 )
-from weekcast.operators.blocks import _full_order, numbered_runs, over_series, spread
+from weekcast.operators import blocks
+from weekcast.operators.blocks import numbered_runs, over_series, spread
 from weekcast.operators.features import _lags, _rolling, _trend
 from weekcast.schema import FEATURES, OBSERVATION_COLUMNS
 
@@ -161,8 +162,8 @@ def test_blocks_equal_whole_series(spark, block_rows):
         return {**_lags(w, (1, 2, 8, 52)), **_rolling(w, (2, 12)), **_trend(w)}
 
     whole = over_series(panel, features, 52, "series")
-    blocks = over_series(panel, features, 52, "blocks", block_rows)
-    assert collected(blocks) == collected(whole)
+    cut = over_series(panel, features, 52, "blocks", block_rows)
+    assert collected(cut) == collected(whole)
 
 
 def test_positions_are_a_numbering(spark):
@@ -174,7 +175,6 @@ def test_positions_are_a_numbering(spark):
     for r in got.collect():
         assert r.n == r.d == r._total and (r.lo, r.hi) == (0, r.n - 1)
     assert rows.groupBy("series", "_block").count().agg(F.max("count")).first()[0] <= 50
-    assert len(_full_order(panel)) == 10
 
 
 def test_split_in_blocks_equals_split_by_series(spark):
@@ -182,14 +182,20 @@ def test_split_in_blocks_equals_split_by_series(spark):
     assert collected(chronological_split(panel, layout="blocks")) == collected(chronological_split(panel, layout="series"))
 
 
-def test_auto_layout_measures_the_longest_series(spark, monkeypatch, sample):
-    from weekcast.operators import blocks
+@pytest.mark.parametrize("limit, listed", [(100, 10), (100, 0), (10_000, 10)])
+def test_auto_layout_cuts_only_the_long_series(spark, monkeypatch, limit, listed):
+    panel = make_panel(spark, uneven_rows())
+    calls = []
+    monkeypatch.setattr(blocks, "SERIES_ROWS_PER_TASK", limit)
+    monkeypatch.setattr(blocks, "LISTED_SERIES", listed)
+    monkeypatch.setattr(blocks, "numbered_runs", lambda df: calls.append(df) or numbered_runs(df))
+    auto = lag_features(panel)
+    assert collected(auto) == collected(lag_features(panel, layout="series"))
+    cut = sorted(r[0] for df in calls for r in df.select("series").distinct().collect())
+    assert cut == {(100, 10): ["long"], (100, 0): ["long", "short", "year"], (10_000, 10): []}[limit, listed]
+
 
-    monkeypatch.setattr(blocks, "SERIES_ROWS_PER_TASK", 69)
-    assert not blocks.series_fit_one_task(sample, "auto")
-    assert collected(training_frame(sample)) == collected(training_frame(sample, layout="series"))
-    monkeypatch.setattr(blocks, "SERIES_ROWS_PER_TASK", 70)
-    assert blocks.series_fit_one_task(sample, "auto")
+def test_unknown_layout(sample):
     with pytest.raises(ValueError):
         lag_features(sample, layout="other")
 

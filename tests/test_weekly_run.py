@@ -96,6 +96,15 @@ def test_high_threshold_does_not_alert(spark, sample, tmp_path):
     assert got["alerts"].isEmpty() and not got["accuracy"].isEmpty()
 
 
+def test_interval_from_unseen_weeks(spark, sample, tmp_path):
+    row = by_series(run(sample, tmp_path, interval_from="validation")["forecasts"])["ca"]
+    errors = sorted(y - 1618.142857 for y in [r[3] for r in sample_rows()][-4:])
+    low = errors[0] + 0.075 * (errors[1] - errors[0])
+    assert row.ci_lower == pytest.approx(1695.944444 + low, abs=1e-3)
+    with pytest.raises(ValueError):
+        run(sample, tmp_path, interval_from="elsewhere")
+
+
 def test_nothing_but_short_series(spark, tmp_path):
     got = run(make_panel(spark, sample_rows("short", 40)), tmp_path)
     assert by_series(got["forecasts"])["short"].status == "insufficient_history"

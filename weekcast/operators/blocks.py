@@ -6,6 +6,13 @@ series, and it needs a single shuffle.  A series that repeats weeks has no such
 bound and may hold a large part of all rows; it is numbered and cut into
 blocks here, each block carrying the rows before it that its windows look at.
 The result is the same row for row.
+
+``layout`` chooses between the two:
+
+``series``  the caller knows that every series fits one task: with one row per
+            week it cannot outgrow it, since dates span fewer than 522,000 weeks
+``blocks``  the caller knows that they do not
+``auto``    one aggregate finds the long series, and only those are cut
 """
 
 from __future__ import annotations
@@ -17,27 +24,34 @@ from pyspark.sql import functions as F
 
 from ..schema import SERIES
 from ..session import cut_lineage
-from .order import oldest_first
+from .order import oldest_first, order_columns
 
 SERIES_ROWS_PER_TASK = 1_000_000
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 50_000
+LISTED_SERIES = 10_000  # so many names of long series may be broadcast
 
+Step = Callable[[DataFrame], DataFrame]
 
-def series_fit_one_task(df: DataFrame, layout: str) -> bool:
-    """Whether ``df`` may be windowed by series.
 
-    ``series``  the caller knows it may: with one row per week a series cannot
-                outgrow a task, since dates span fewer than 522,000 weeks
-    ``blocks``  the caller knows it may not
-    ``auto``    one aggregate measures the longest series
-    """
-    if layout not in ("auto", "series", "blocks"):
-        raise ValueError(f"layout must be 'auto', 'series' or 'blocks', not {layout!r}")
+def by_length(df: DataFrame, layout: str, whole: Step, cut: Step) -> DataFrame:
+    """``whole`` for the series that fit one task, ``cut`` for the others."""
+    if layout == "series":
+        return whole(df)
+    if layout == "blocks":
+        return cut(df)
     if layout != "auto":
-        return layout == "series"
+        raise ValueError(f"layout must be 'auto', 'series' or 'blocks', not {layout!r}")
     sizes = df.groupBy(SERIES).agg(F.count(F.lit(1)).alias("rows"))
-    longest = sizes.agg(F.max("rows")).first()[0]
-    return (longest or 0) <= SERIES_ROWS_PER_TASK
+    long = sizes.where(F.col("rows") > SERIES_ROWS_PER_TASK).select(SERIES)
+    names = long.limit(LISTED_SERIES + 1).collect()
+    if not names:
+        return whole(df)
+    if len(names) > LISTED_SERIES:
+        return cut(df)
+    listed = F.broadcast(df.sparkSession.createDataFrame(names, long.schema))
+    return whole(df.join(listed, SERIES, "left_anti")).unionByName(
+        cut(df.join(listed, SERIES, "left_semi"))
+    )
 
 
 def numbered_runs(df: DataFrame) -> DataFrame:
@@ -75,7 +89,7 @@ def numbered_runs(df: DataFrame) -> DataFrame:
 
 def _full_order(df: DataFrame) -> list[Column]:
     """The shared order, then every other column, so runs have one numbering."""
-    rest = [c for c in df.columns if c != SERIES]
+    rest = [c for c in df.columns if c not in (SERIES, *order_columns(df))]
     return [*oldest_first(df), *[F.col(c).asc_nulls_last() for c in rest]]
 
 
@@ -113,14 +127,19 @@ def over_series(
 
     All columns share one window specification, hence one shuffle and one sort.
     """
-    if series_fit_one_task(df, layout):
-        made = features(Window.partitionBy(SERIES).orderBy(*oldest_first(df)))
-        return df.select("*", *[c.alias(name) for name, c in made.items()])
-    block_rows = max(block_rows, history)
-    rows = spread(numbered_runs(df), history, block_rows)
-    made = features(Window.partitionBy(SERIES, "_block").orderBy("_pos"))
-    return (
-        rows.select("*", *[c.alias(name) for name, c in made.items()])
-        .where(F.col("_pos") >= F.col("_block") * block_rows)
-        .select(*df.columns, *made)
-    )
+    size = max(block_rows, history)
+
+    def whole(part: DataFrame) -> DataFrame:
+        made = features(Window.partitionBy(SERIES).orderBy(*oldest_first(part)))
+        return part.select("*", *[c.alias(name) for name, c in made.items()])
+
+    def cut(part: DataFrame) -> DataFrame:
+        rows = spread(numbered_runs(part), history, size)
+        made = features(Window.partitionBy(SERIES, "_block").orderBy("_pos"))
+        return (
+            rows.select("*", *[c.alias(name) for name, c in made.items()])
+            .where(F.col("_pos") >= F.col("_block") * size)
+            .select(*part.columns, *made)
+        )
+
+    return by_length(df, layout, whole, cut)

@@ -49,20 +49,24 @@ def next_forecast(
     mode: str = "parity",
     layout: str = "auto",
     strict: bool = False,
+    residuals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per series for the week after its newest one.
 
-    ``frame`` is the training frame when the caller has it already.  A series
+    ``frame`` is the training frame when the caller has it already.  The
+    interval comes from the model's own fit of its newest rows; pass scored
+    rows as ``residuals`` to take it from elsewhere.  A series
     without complete features, or without a single training row to take
     residuals from, gets the status ``insufficient_history`` and no numbers.
     """
-    if frame is None:
-        frame = training_frame(panel, layout, strict)
+    if residuals is None:
+        if frame is None:
+            frame = training_frame(panel, layout, strict)
+        residuals = score(model, newest_rows(frame, RESIDUAL_ROWS))
     ahead = score(model, forecast_point_features(panel, mode, strict), clamp=True).select(
         SERIES, WEEK_START, F.col("prediction").alias("predicted_ili")
     )
-    fitted = score(model, newest_rows(frame, RESIDUAL_ROWS))
-    bounded = residual_interval(fitted, ahead)
+    bounded = residual_interval(residuals, ahead)
     usable = F.col("ci_upper").isNotNull()
     return bounded.select(
         SERIES,

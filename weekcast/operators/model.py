@@ -97,6 +97,7 @@ class Backtest(NamedTuple):
     features: list[str]
     metrics: DataFrame
     frame: DataFrame  # the training frame with its split, fixed as files
+    unseen: DataFrame  # validation rows as predicted by the model that did not see them
 
 
 def backtest(
@@ -113,6 +114,8 @@ def backtest(
     """
     parts = cut_lineage(chronological_split(frame, scope=scope, layout=layout))
     trial = fit_forecaster(parts.where(F.col("split") == "train"), params)
-    metrics = regression_metrics(score(trial, parts), TARGET, "prediction", by)
+    tried = score(trial, parts)
+    metrics = regression_metrics(tried, TARGET, "prediction", by)
     final = fit_forecaster(parts, params)
-    return Backtest(final, list(FEATURES), metrics, parts)
+    unseen = tried.where(F.col("split") == "validation")
+    return Backtest(final, list(FEATURES), metrics, parts, unseen)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import SERIES, TRAIN_SHARE, WEEK_START
-from .blocks import numbered_runs, series_fit_one_task, spread
+from .blocks import by_length, numbered_runs, spread
 from .order import oldest_first
 
 
@@ -25,14 +25,19 @@ def chronological_split(
     """
     if scope == "global":
         return _split_by_week(df, share)
-    if series_fit_one_task(df, layout):
-        whole = Window.partitionBy(SERIES)
-        place = F.row_number().over(whole.orderBy(*oldest_first(df)))
-        total = F.count(F.lit(1)).over(whole)
-        return df.withColumn("split", _label(place <= _first_part(total, share)))
-    rows = spread(numbered_runs(df))
-    train = F.col("_pos") < _first_part(F.col("_total"), share)
-    return rows.withColumn("split", _label(train)).select(*df.columns, "split")
+
+    def whole(part: DataFrame) -> DataFrame:
+        all_rows = Window.partitionBy(SERIES)
+        place = F.row_number().over(all_rows.orderBy(*oldest_first(part)))
+        total = F.count(F.lit(1)).over(all_rows)
+        return part.withColumn("split", _label(place <= _first_part(total, share)))
+
+    def cut(part: DataFrame) -> DataFrame:
+        train = F.col("_pos") < _first_part(F.col("_total"), share)
+        rows = spread(numbered_runs(part))
+        return rows.withColumn("split", _label(train)).select(*part.columns, "split")
+
+    return by_length(df, layout, whole, cut)
 
 
 def _first_part(total: Column, share: float) -> Column:

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.features import training_frame
 from ..operators.interval import next_forecast
@@ -18,9 +19,10 @@ from ..operators.reconcile import (
     forecast_actual_lookup,
     refresh_gate,
 )
-from ..schema import ALERT_THRESHOLD, FORECAST_COLUMNS, OBSERVATION_COLUMNS, SERIES
+from ..schema import ALERT_THRESHOLD, FORECAST, OBSERVATION_COLUMNS, SERIES, WEEK_START
 from ..session import cut_lineage
 from ..sources.ledger import ledger_append, ledger_latest_valid, read_ledger
+from ..sources.observations import coverage_stats
 from ..sources.sinks import (
     alert_outputs,
     chart_frame,
@@ -29,7 +31,13 @@ from ..sources.sinks import (
     write_lines,
 )
 
-_FORECASTS = "series string, week_start date, predicted_ili double, ci_lower double, ci_upper double, interval_ok boolean, status string"
+_FORECASTS = T.StructType(
+    [
+        *FORECAST.fields,
+        T.StructField("interval_ok", T.BooleanType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
 
 
 def weekly_run(
@@ -44,6 +52,7 @@ def weekly_run(
     layout: str = "auto",
     ledger_format: str = "parquet",
     title: str = "Weekly Forecast Summary",
+    interval_from: str = "training",
 ) -> dict[str, DataFrame]:
     """Run every series of ``panel``, a table at rest, through its own path.
 
@@ -54,7 +63,12 @@ def weekly_run(
     The ledger is read and fixed before anything else and appended to last, so
     a run that fails half-way is simply run again, and a second run on the same
     data finds every series waiting.
+
+    ``interval_from="validation"`` takes the interval from errors on weeks the
+    model had not seen instead of from its own fit.
     """
+    if interval_from not in ("training", "validation"):
+        raise ValueError(f"interval_from must be 'training' or 'validation', not {interval_from!r}")
     spark = panel.sparkSession
     panel = panel.select(*OBSERVATION_COLUMNS)
     latest = cut_lineage(ledger_latest_valid(read_ledger(spark, ledger_path, ledger_format)))
@@ -63,6 +77,7 @@ def weekly_run(
 
     due = panel.join(gate.where(F.col("action") == RETRAIN), SERIES, "left_semi")
     results = {
+        "coverage": coverage_stats(panel),
         "gate": gate,
         "accuracy": accuracy,
         "standing": latest.join(gate.where(F.col("action") == SKIP), SERIES, "left_semi"),
@@ -72,20 +87,17 @@ def weekly_run(
         frame = cut_lineage(training_frame(due, layout, strict))
         if frame.isEmpty():
             # Nothing to learn from: every due series is too short.
-            none = [F.lit(None).cast("double").alias(c) for c in FORECAST_COLUMNS[2:]]
-            ahead = due.groupBy(SERIES).agg(F.date_add(F.max("week_start"), 7).alias("week_start"))
-            results["forecasts"] = ahead.select(
-                SERIES,
-                "week_start",
-                *none,
-                F.lit(None).cast("boolean").alias("interval_ok"),
+            ahead = due.groupBy(SERIES).agg(
+                F.date_add(F.max(WEEK_START), 7).alias(WEEK_START),
                 F.lit("insufficient_history").alias("status"),
             )
+            results["forecasts"] = results["forecasts"].unionByName(ahead, allowMissingColumns=True)
         else:
             trained = backtest(frame, params, layout=layout)
             results["metrics"] = trained.metrics
+            unseen = trained.unseen if interval_from == "validation" else None
             results["forecasts"] = cut_lineage(
-                next_forecast(trained.model, due, trained.frame, mode, layout, strict)
+                next_forecast(trained.model, due, trained.frame, mode, layout, strict, unseen)
             )
     forecasts = results["forecasts"]
     results["alerts"] = deviation_alerts(accuracy, forecasts, threshold)
@@ -105,6 +117,6 @@ def _write(results: dict[str, DataFrame], out_path: str) -> None:
     forecast_csv(made, f"{out_path}/prediction")
     write_lines(results["summary"], f"{out_path}/summary", F.col("line"), ["line_no"])
     key_value = F.concat_ws("=", "key", "value")
-    write_lines(results["outputs"], f"{out_path}/outputs", key_value, ["week_start", "key"])
+    write_lines(results["outputs"], f"{out_path}/outputs", key_value, [WEEK_START, "key"])
     for name in ("chart", "alerts", "accuracy"):
         results[name].write.mode("overwrite").parquet(f"{out_path}/{name}")
