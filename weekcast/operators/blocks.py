@@ -33,6 +33,22 @@ LISTED_SERIES = 10_000  # so many names of long series may be broadcast
 Step = Callable[[DataFrame], DataFrame]
 
 
+def long_series(df: DataFrame) -> list:
+    """Names of the series that do not fit one task, at most one over the limit."""
+    sizes = df.groupBy(SERIES).agg(F.count(F.lit(1)).alias("rows"))
+    long = sizes.where(F.col("rows") > SERIES_ROWS_PER_TASK).select(SERIES)
+    return long.limit(LISTED_SERIES + 1).collect()
+
+
+def settled(df: DataFrame, layout: str) -> str:
+    """``series`` where ``auto`` would find nothing to cut in ``df``.
+
+    For callers that apply several operators to the same series: measuring
+    once spares each of them the aggregate.
+    """
+    return "series" if layout == "auto" and not long_series(df) else layout
+
+
 def by_length(df: DataFrame, layout: str, whole: Step, cut: Step) -> DataFrame:
     """``whole`` for the series that fit one task, ``cut`` for the others."""
     if layout == "series":
@@ -41,14 +57,12 @@ def by_length(df: DataFrame, layout: str, whole: Step, cut: Step) -> DataFrame:
         return cut(df)
     if layout != "auto":
         raise ValueError(f"layout must be 'auto', 'series' or 'blocks', not {layout!r}")
-    sizes = df.groupBy(SERIES).agg(F.count(F.lit(1)).alias("rows"))
-    long = sizes.where(F.col("rows") > SERIES_ROWS_PER_TASK).select(SERIES)
-    names = long.limit(LISTED_SERIES + 1).collect()
+    names = long_series(df)
     if not names:
         return whole(df)
     if len(names) > LISTED_SERIES:
         return cut(df)
-    listed = F.broadcast(df.sparkSession.createDataFrame(names, long.schema))
+    listed = F.broadcast(df.sparkSession.createDataFrame(names, df.select(SERIES).schema))
     return whole(df.join(listed, SERIES, "left_anti")).unionByName(
         cut(df.join(listed, SERIES, "left_semi"))
     )

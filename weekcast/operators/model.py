@@ -110,9 +110,12 @@ def backtest(
     """Fit on the earlier part, measure both parts, then refit on everything.
 
     Both fits and the metrics read the frame several times, so it is written
-    once instead of being derived again each time.
+    once instead of being derived again each time.  A frame that has ``split``
+    already is taken to be fixed and is used as it is.
     """
-    parts = cut_lineage(chronological_split(frame, scope=scope, layout=layout))
+    parts = frame
+    if "split" not in frame.columns:
+        parts = cut_lineage(chronological_split(frame, scope=scope, layout=layout))
     trial = fit_forecaster(parts.where(F.col("split") == "train"), params)
     tried = score(trial, parts)
     metrics = regression_metrics(tried, TARGET, "prediction", by)

@@ -24,7 +24,7 @@ def forecast_actual_lookup(
     per task.  Spark moves the semi join below that fold when the ledger is
     small enough to broadcast, and leaves it above otherwise.
     """
-    wanted = ledger.select(SERIES, WEEK_START)
+    wanted = ledger.select(SERIES, WEEK_START).distinct()
     within = [c for c in order_columns(panel) if c != WEEK_START]
     # NULL sorts first inside a struct, but last in the panel's row order.
     keys = [x for c in within for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
@@ -114,19 +114,25 @@ def deviation_alerts(
 RETRAIN, SKIP = "retrain", "skip"
 
 
-def refresh_gate(panel: DataFrame, latest: DataFrame, strict: bool = False) -> DataFrame:
+def refresh_gate(
+    panel: DataFrame,
+    latest: DataFrame,
+    strict: bool = False,
+    looked_up: DataFrame | None = None,
+) -> DataFrame:
     """Which series to retrain.
 
     ``latest`` is the newest valid ledger row per series.  A series without one
     starts cold; one whose forecast week has arrived is retrained; all others
     wait.  ``strict`` also retrains stale series, which would wait for ever.
+    ``looked_up`` is the lookup of ``latest`` when the caller has it already.
     """
+    if looked_up is None:
+        looked_up = forecast_actual_lookup(latest, panel, strict)
     known = panel.select(SERIES).distinct()
-    looked_up = forecast_actual_lookup(latest, panel, strict).select(
-        SERIES, F.col("status").alias("reason")
-    )
-    reason = F.coalesce(F.col("reason"), F.lit("cold_start"))
+    found = looked_up.select(SERIES, F.col("status").alias("_status"))
+    reason = F.coalesce(F.col("_status"), F.lit("cold_start"))
     act = F.when(reason.isin("cold_start", "matched", "stale"), RETRAIN).otherwise(SKIP)
-    return known.join(looked_up, SERIES, "left").select(
+    return known.join(found, SERIES, "left").select(
         SERIES, act.alias("action"), reason.alias("reason")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.blocks import settled
 from ..operators.features import training_frame
 from ..operators.interval import next_forecast
 from ..operators.model import ModelParams, backtest
@@ -19,8 +20,9 @@ from ..operators.reconcile import (
     forecast_actual_lookup,
     refresh_gate,
 )
+from ..operators.split import chronological_split
 from ..schema import ALERT_THRESHOLD, FORECAST, OBSERVATION_COLUMNS, SERIES, WEEK_START
-from ..session import cut_lineage
+from ..session import broadcast_if_small, cut_lineage
 from ..sources.ledger import ledger_append, ledger_latest_valid, read_ledger
 from ..sources.observations import coverage_stats
 from ..sources.sinks import (
@@ -72,10 +74,13 @@ def weekly_run(
     spark = panel.sparkSession
     panel = panel.select(*OBSERVATION_COLUMNS)
     latest = cut_lineage(ledger_latest_valid(read_ledger(spark, ledger_path, ledger_format)))
-    accuracy = cut_lineage(forecast_accuracy(forecast_actual_lookup(latest, panel, strict)))
-    gate = cut_lineage(refresh_gate(panel, latest, strict))
+    latest = broadcast_if_small(latest)
+    looked_up = cut_lineage(forecast_actual_lookup(latest, panel, strict))
+    accuracy = forecast_accuracy(looked_up)
+    gate = cut_lineage(refresh_gate(panel, latest, strict, looked_up))
 
-    due = panel.join(gate.where(F.col("action") == RETRAIN), SERIES, "left_semi")
+    retrain = gate.where(F.col("action") == RETRAIN).select(SERIES)
+    due = panel.join(broadcast_if_small(retrain), SERIES, "left_semi")
     results = {
         "coverage": coverage_stats(panel),
         "gate": gate,
@@ -83,9 +88,13 @@ def weekly_run(
         "standing": latest.join(gate.where(F.col("action") == SKIP), SERIES, "left_semi"),
         "forecasts": spark.createDataFrame([], _FORECASTS),
     }
-    if not gate.where(F.col("action") == RETRAIN).isEmpty():
-        frame = cut_lineage(training_frame(due, layout, strict))
-        if frame.isEmpty():
+    if not retrain.isEmpty():
+        layout = settled(due, layout)
+        frame = training_frame(due, layout, strict)
+        if layout == "auto":
+            frame = cut_lineage(frame)  # the split measures it
+        parts = cut_lineage(chronological_split(frame, layout=layout))
+        if parts.isEmpty():
             # Nothing to learn from: every due series is too short.
             ahead = due.groupBy(SERIES).agg(
                 F.date_add(F.max(WEEK_START), 7).alias(WEEK_START),
@@ -93,11 +102,11 @@ def weekly_run(
             )
             results["forecasts"] = results["forecasts"].unionByName(ahead, allowMissingColumns=True)
         else:
-            trained = backtest(frame, params, layout=layout)
+            trained = backtest(parts, params)
             results["metrics"] = trained.metrics
             unseen = trained.unseen if interval_from == "validation" else None
             results["forecasts"] = cut_lineage(
-                next_forecast(trained.model, due, trained.frame, mode, layout, strict, unseen)
+                next_forecast(trained.model, due, parts, mode, layout, strict, unseen)
             )
     forecasts = results["forecasts"]
     results["alerts"] = deviation_alerts(accuracy, forecasts, threshold)

@@ -7,6 +7,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,3 +45,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     instead of recomputing it from inputs that may have changed since."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast for a narrow table that was fixed by ``cut_lineage``,
+    after counting that it holds at most ``BROADCAST_ROWS`` rows.
+
+    Spark keeps no size for a checkpoint, so without the hint the other side
+    of a join would be shuffled however small this one is.
+    """
+    few = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(df) if few else df
