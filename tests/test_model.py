@@ -65,7 +65,7 @@ def test_constant_model_forecast(sample):
 
 def test_model_beats_the_mean_and_is_repeatable(seasons):
     frame = training_frame(seasons)
-    params = ModelParams(trees=20)
+    params = ModelParams(trees=8)
     first, second = backtest(frame, params), backtest(frame, params)
     validation = {r.split: r for r in first.metrics.collect()}["validation"]
     assert 0.3 < validation.r2 < 0.999

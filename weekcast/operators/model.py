@@ -6,9 +6,11 @@ one series gives that series its own model.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -112,13 +114,18 @@ def backtest(
     Both fits and the metrics read the frame several times, so it is written
     once instead of being derived again each time.  A frame that has ``split``
     already is taken to be fixed and is used as it is.
+
+    A fit is a long chain of short jobs, one per tree level, and the two fits
+    do not depend on each other: they are submitted side by side.
     """
     parts = frame
     if "split" not in frame.columns:
         parts = cut_lineage(chronological_split(frame, scope=scope, layout=layout))
-    trial = fit_forecaster(parts.where(F.col("split") == "train"), params)
+    ensure_checkpoint_dir(frame.sparkSession)
+    fit = inheritable_thread_target(frame.sparkSession)(lambda rows: fit_forecaster(rows, params))
+    with ThreadPoolExecutor(2) as pool:
+        trial, final = pool.map(fit, [parts.where(F.col("split") == "train"), parts])
     tried = score(trial, parts)
     metrics = regression_metrics(tried, TARGET, "prediction", by)
-    final = fit_forecaster(parts, params)
     unseen = tried.where(F.col("split") == "validation")
     return Backtest(final, list(FEATURES), metrics, parts, unseen)

@@ -18,8 +18,13 @@ def forecast_csv(forecasts: DataFrame, path: str) -> None:
     forecasts.select(*FORECAST_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _lines(parts: list[Column]) -> Column:
-    return F.filter(F.array(*parts), lambda line: line.isNotNull())
+def _present(entries: list[Column]) -> Column:
+    """The entries that are not NULL, as an array."""
+    return F.filter(F.array(*entries), lambda entry: entry.isNotNull())
+
+
+def _day(name: str) -> Column:
+    return F.date_format(name, "yyyy-MM-dd")
 
 
 def summary_lines(
@@ -30,57 +35,45 @@ def summary_lines(
 ) -> DataFrame:
     """The text summary of every forecast, one row per line.
 
-    The comparison block appears for series that have a row in ``accuracy``.
+    The comparison block appears for series that have a matched row in
+    ``accuracy``, which holds one row per series.
     """
-    said = forecasts.where(F.col("predicted_ili").isNotNull()).select(*FORECAST_COLUMNS)
-    if accuracy is None:
-        compared = F.lit(False)
-        prior = said
-        week = predicted = actual = deviation = F.lit(None).cast("string")
-    else:
+    ahead = forecasts.where(F.col("predicted_ili").isNotNull()).select(*FORECAST_COLUMNS)
+    comparison = []
+    if accuracy is not None:
+        compared = ["week_start", "predicted_ili", "actual_ili", "deviation_pct"]
         matched = accuracy.where(F.col("status") == "matched").select(
-            SERIES,
-            F.struct(
-                WEEK_START, "predicted_ili", "actual_ili", "deviation_pct"
-            ).alias("_prior"),
+            SERIES, F.struct(*compared).alias("prior")
         )
-        prior = said.join(matched, SERIES, "left")
-        compared = F.col("_prior").isNotNull()
-        week = F.date_format(F.col("_prior.week_start"), "yyyy-MM-dd")
-        predicted = fixed0(F.col("_prior.predicted_ili"))
-        actual = fixed0(F.col("_prior.actual_ili"))
-        deviation = F.coalesce(
-            F.concat(fixed1(F.col("_prior.deviation_pct")), F.lit("%")), F.lit("undefined")
-        )
-
-    def only_compared(line: Column) -> Column:
-        return F.when(compared, line)
-
-    lines = _lines(
+        ahead = ahead.join(matched, SERIES, "left")
+        # Concatenation with a missing prior is NULL, which drops the line.
+        deviation = F.concat(fixed1(F.col("prior.deviation_pct")), F.lit("%"))
+        known = F.col("prior").isNotNull()
+        comparison = [
+            F.when(known, F.lit("Prior Prediction Comparison:")),
+            F.concat(F.lit("  Week: "), _day("prior.week_start")),
+            F.concat(F.lit("  Predicted: "), fixed0(F.col("prior.predicted_ili"))),
+            F.concat(F.lit("  Actual:    "), fixed0(F.col("prior.actual_ili"))),
+            F.when(
+                known, F.concat(F.lit("  Deviation: "), F.coalesce(deviation, F.lit("undefined")))
+            ),
+            F.when(known, F.lit("")),
+        ]
+    bounds = [fixed0(F.col("ci_lower")), F.lit(", "), fixed0(F.col("ci_upper"))]
+    lines = _present(
         [
             F.lit(title),
             F.lit(f"Generated: {as_utc(as_of):%Y-%m-%d %H:%M:%S} UTC"),
             F.concat(F.lit("State: "), F.col(SERIES)),
             F.lit(""),
-            only_compared(F.lit("Prior Prediction Comparison:")),
-            only_compared(F.concat(F.lit("  Week: "), week)),
-            only_compared(F.concat(F.lit("  Predicted: "), predicted)),
-            only_compared(F.concat(F.lit("  Actual:    "), actual)),
-            only_compared(F.concat(F.lit("  Deviation: "), deviation)),
-            only_compared(F.lit("")),
+            *comparison,
             F.lit("Next Week Prediction:"),
-            F.concat(F.lit("  Week Starting: "), F.date_format(WEEK_START, "yyyy-MM-dd")),
+            F.concat(F.lit("  Week Starting: "), _day(WEEK_START)),
             F.concat(F.lit("  Predicted ILI: "), fixed0(F.col("predicted_ili"))),
-            F.concat(
-                F.lit("  95% PI: ["),
-                fixed0(F.col("ci_lower")),
-                F.lit(", "),
-                fixed0(F.col("ci_upper")),
-                F.lit("]"),
-            ),
+            F.concat(F.lit("  95% PI: ["), *bounds, F.lit("]")),
         ]
     )
-    return prior.select(SERIES, F.posexplode(lines).alias("line_no", "line"))
+    return ahead.select(SERIES, F.posexplode(lines).alias("line_no", "line"))
 
 
 def chart_frame(
@@ -143,10 +136,10 @@ def alert_outputs(accuracy: DataFrame, threshold: float = ALERT_THRESHOLD) -> Da
         entry = F.struct(F.lit(key).alias("key"), value.alias("value"))
         return entry if always else F.when(alert, entry)
 
-    pairs = _lines(
+    pairs = _present(
         [
             pair("comparison_alert", F.when(alert, "true").otherwise("false"), always=True),
-            pair("comparison_week", F.date_format(WEEK_START, "yyyy-MM-dd")),
+            pair("comparison_week", _day(WEEK_START)),
             pair("comparison_predicted", fixed0(F.col("predicted_ili"))),
             pair("comparison_actual", fixed0(F.col("actual_ili"))),
             pair("comparison_deviation_pct", fixed1(F.col("deviation_pct")), always=True),
