@@ -107,6 +107,11 @@ def test_number_texts_equal_python(spark):
             assert r.a == f"{r.x:.0f}"
 
 
+def test_number_texts_of_null_are_null(spark):
+    df = spark.createDataFrame([(None,)], "x double")
+    assert tuple(df.select(fixed0(F.col("x")), fixed1(F.col("x"))).first()) == (None, None)
+
+
 def test_finite_double_knows_one_missing_value(spark):
     texts = ["1.5", " 2 ", "1e3", "n/a", "", "NaN", "Infinity", "-inf", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 
 def fixed0(value: Column) -> Column:
-    """No decimals.  A half is exact in binary, so ``bround`` settles ties."""
-    return F.format_string("%.0f", F.bround(value, 0))
+    """No decimals.  A half is exact in binary, so ``bround`` settles ties.
+
+    NULL stays NULL; ``format_string`` alone would print the word.
+    """
+    return F.when(value.isNotNull(), F.format_string("%.0f", F.bround(value, 0)))
 
 
 def fixed1(value: Column) -> Column:
