@@ -199,6 +199,22 @@ def accuracy(name: str, source: str) -> str:
 )"""
 
 
+def mean_forecast(frame: str) -> str:
+    """The mean of all training rows as every series' forecast."""
+    return f"""
+mu AS (SELECT avg(ilitotal) AS mean FROM {frame}),
+s AS (
+  SELECT series, quantile_cont(ilitotal - mean, 0.025) AS lo, quantile_cont(ilitotal - mean, 0.975) AS hi
+  FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY week_start DESC) AS rr FROM {frame}), mu
+  WHERE rr <= 30 GROUP BY series
+),
+z AS ({bounded(f"""
+  SELECT t.series, t.last_start + 7 AS week_start, mean AS predicted_ili
+  FROM (SELECT series, max(week_start) AS last_start FROM p GROUP BY series) t, mu
+  WHERE t.series IN (SELECT series FROM {frame})""")}
+)"""
+
+
 FORECAST_OUT = f"series, {DAY}, " + ", ".join(r6(c) for c in ("predicted_ili", "ci_lower", "ci_upper"))
 LOOKED_OUT = f"{FORECAST_OUT}, {MADE}, actual_ili, status"
 ACCURACY_OUT = f"{LOOKED_OUT}, {r6('abs_deviation')}, {r6('deviation_pct')}, in_interval, direction, accuracy"
@@ -418,6 +434,14 @@ SELECT series, split, {r6('sqrt(avg((ilitotal - roll_mean_4) ** 2))', 'rmse')},
        {r6('1 - sum((ilitotal - roll_mean_4) ** 2) / nullif(var_pop(ilitotal) * count(*), 0)', 'r2')},
        count(*)::BIGINT AS n
 FROM d GROUP BY series, split""",
+    "backtest_mean_model": f"""WITH {PANEL},{FRAME},{SPLIT},
+mu AS (SELECT avg(ilitotal) AS mean FROM d WHERE split = 'train')
+SELECT split, {r6('sqrt(avg((ilitotal - mean) ** 2))', 'rmse')},
+       {r6('1 - sum((ilitotal - mean) ** 2) / nullif(var_pop(ilitotal) * count(*), 0)', 'r2')},
+       count(*)::BIGINT AS n
+FROM d, mu GROUP BY split""",
+    "next_forecast_mean_model": f"""WITH {PANEL},{FRAME},{mean_forecast('f')}
+SELECT {FORECAST_OUT}, interval_ok, 'ok' AS status FROM z""",
     "residual_interval": f"""WITH {PANEL},{FRAME},{SPANS}
 SELECT {FORECAST_OUT}, interval_ok FROM ({
         bounded('SELECT series, max(week_start) + 7 AS week_start, avg(ilitotal) AS predicted_ili FROM p GROUP BY series')
@@ -434,11 +458,13 @@ SELECT {FORECAST_OUT}, {MADE} FROM v""",
     "summary_lines": f"WITH {BASELINE},{NEWEST_ACCURACY} {SUMMARY}",
     "chart_frame": f"WITH {BASELINE},{NEWEST_ACCURACY} {CHART}",
     "alert_outputs": f"WITH {PANEL},{ALL_ACCURACY} {OUTPUTS}",
-    "weekly_run_status": f"""WITH {PANEL},{NEWEST_ACCURACY},{GATE}
-SELECT g.series, g.action, g.reason,
-       CASE WHEN g.action = 'retrain' THEN (t.last_start + 7)::VARCHAR END AS next_week,
+    "weekly_run_status": f"""WITH {PANEL},{NEWEST_ACCURACY},{GATE},{FRAME},
+due AS (SELECT f.* FROM f JOIN g USING (series) WHERE g.action = 'retrain'),
+{mean_forecast('due')}
+SELECT g.series, g.action, g.reason, {text('z.week_start', 'next_week')},
+       {r6('z.predicted_ili', 'predicted_ili')}, {r6('z.ci_lower', 'ci_lower')}, {r6('z.ci_upper', 'ci_upper')},
        a.week_start::VARCHAR AS prior_week, a.actual_ili, {r6('a.deviation_pct', 'deviation_pct')},
        CASE WHEN g.action = 'skip' THEN v.week_start::VARCHAR END AS standing_week
-FROM g JOIN (SELECT series, max(week_start) AS last_start FROM p GROUP BY series) t USING (series)
-LEFT JOIN a ON a.series = g.series LEFT JOIN v ON v.series = g.series""",
+FROM g LEFT JOIN z ON z.series = g.series LEFT JOIN a ON a.series = g.series
+LEFT JOIN v ON v.series = g.series""",
 }

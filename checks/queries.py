@@ -25,6 +25,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-08-06T16:00:00Z"
 LATER = "2001-08-13T16:00:00Z"
 FEW_TREES = op.ModelParams(trees=10)
+# No leaf may be split, so the model is the mean of its rows: everything around
+# the trees (split, refit, scoring, interval) can then be checked by SQL.
+MEAN_MODEL = op.ModelParams(trees=1, min_leaf_rows=1_000_000_000)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -153,9 +156,11 @@ def score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(SERIES, WEEK_START, TARGET, "prediction", "status")
 
 
-def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = inputs.weekly_panel(spark, sf_dir)
-    return op.backtest(op.training_frame(panel, layout="series"), FEW_TREES, layout="series").metrics
+def backtest(
+    spark: SparkSession, sf_dir: str, params: op.ModelParams = FEW_TREES
+) -> DataFrame:
+    frame = op.training_frame(inputs.weekly_panel(spark, sf_dir), layout="series")
+    return comparable(op.backtest(frame, params, layout="series").metrics)
 
 
 def interval(panel: DataFrame) -> DataFrame:
@@ -166,10 +171,12 @@ def interval(panel: DataFrame) -> DataFrame:
     return op.residual_interval(inputs.scored_frame(panel), points)
 
 
-def next_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+def next_forecast(
+    spark: SparkSession, sf_dir: str, params: op.ModelParams = FEW_TREES
+) -> DataFrame:
     panel = cut_lineage(inputs.weekly_panel(spark, sf_dir))
     frame = cut_lineage(op.training_frame(panel, layout="series"))
-    return op.next_forecast(op.fit_forecaster(frame, FEW_TREES), panel, frame)
+    return comparable(op.next_forecast(op.fit_forecaster(frame, params), panel, frame))
 
 
 # --- ledger and reconciliation -----------------------------------------------
@@ -228,33 +235,34 @@ def outputs(panel: DataFrame) -> DataFrame:
     return src.alert_outputs(_accuracy(panel))
 
 
-def _run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _run(spark: SparkSession, sf_dir: str, params: op.ModelParams) -> dict[str, DataFrame]:
     panel = cut_lineage(inputs.weekly_panel(spark, sf_dir))
     path = run_dir(spark, "run")
     newest = ranked_newest(inputs.ledger(panel), 1).drop("_rank")
     newest.write.partitionBy(WEEK_START).parquet(f"{path}/ledger")
     return weekly_run(
-        panel, f"{path}/ledger", AS_OF, out_path=f"{path}/out", params=FEW_TREES, layout="series"
+        panel, f"{path}/ledger", AS_OF, out_path=f"{path}/out", params=params, layout="series"
     )
 
 
 def weekly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the run did with every series, and the new forecast where it made one."""
-    run = _run(spark, sf_dir)
-    return run["gate"].join(run["forecasts"], SERIES, "left")
+    run = _run(spark, sf_dir, FEW_TREES)
+    return comparable(run["gate"].join(run["forecasts"], SERIES, "left"))
 
 
 def weekly_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part of the run that does not depend on the model."""
-    run = _run(spark, sf_dir)
-    ahead = run["forecasts"].select(SERIES, F.col(WEEK_START).alias("next_week"))
+    """The same run with the mean model: gate, comparison and forecast."""
+    run = _run(spark, sf_dir, MEAN_MODEL)
+    ahead = run["forecasts"].select(
+        SERIES, F.col(WEEK_START).alias("next_week"), "predicted_ili", "ci_lower", "ci_upper"
+    )
     prior = run["accuracy"].select(
         SERIES, F.col(WEEK_START).alias("prior_week"), "actual_ili", "deviation_pct"
     )
     waiting = run["standing"].select(SERIES, F.col(WEEK_START).alias("standing_week"))
-    return comparable(
-        run["gate"].join(ahead, SERIES, "left").join(prior, SERIES, "left").join(waiting, SERIES, "left")
-    )
+    report = run["gate"].join(ahead, SERIES, "left").join(prior, SERIES, "left")
+    return comparable(report.join(waiting, SERIES, "left"))
 
 
 QUERIES: dict[str, Query] = {
@@ -288,8 +296,10 @@ QUERIES: dict[str, Query] = {
     "fit_forecaster": fit_forecaster,
     "score": score,
     "backtest": backtest,
+    "backtest_mean_model": lambda spark, sf_dir: backtest(spark, sf_dir, MEAN_MODEL),
     "residual_interval": on_stored_panel(interval),
     "next_forecast": next_forecast,
+    "next_forecast_mean_model": lambda spark, sf_dir: next_forecast(spark, sf_dir, MEAN_MODEL),
     "ledger_append": ledger_append,
     "ledger_append_json": lambda spark, sf_dir: ledger_append(spark, sf_dir, "json"),
     "ledger_latest_valid": on_panel(_latest),
