@@ -154,7 +154,7 @@ def forecast_rows(spark, *rows):
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
 def test_ledger_round_trip_and_ranking(spark, tmp_path, fmt):
     path = str(tmp_path / "ledger")
-    assert ledger_latest_valid(read_ledger(spark, path, fmt)).count() == 0
+    assert ledger_latest_valid(path, fmt).count() == 0
     first = forecast_rows(spark, ("ca", date(2024, 3, 18), 1500.0, 1200.0, 1800.0), ("tx", date(2024, 3, 18), None, None, None))
     ledger_append(first, path, "2024-03-11T16:00:00Z", fmt)
     ledger_append(forecast_rows(spark, ("ca", date(2024, 3, 25), 1.0, 0.0, 2.0)), path, datetime(2024, 3, 18, 16), fmt)
@@ -190,7 +190,7 @@ def test_bad_ledger_lines_mean_cold_start(spark, tmp_path):
     (tmp_path / "ledger.json").write_text("\n".join(lines))
     ledger = read_ledger(spark, str(tmp_path / "ledger.json"), "json")
     assert sorted(r.series for r in ledger_latest_valid(ledger).collect()) == ["fine", "undated"]
-    assert sorted(str(r.series) for r in ledger_quarantine(ledger).collect()) == ["None", "typo"]
+    assert sorted(str(r.series) for r in ledger_quarantine(ledger).collect()) == ["None", "later", "missing", "typo"]
 
 
 # --- outputs -----------------------------------------------------------------------
@@ -220,7 +220,7 @@ def test_summary_with_and_without_comparison(spark, tmp_path):
         [("ca", date(2024, 3, 18), 1500.0, 1200.0, 1800.0, 1450.0, "matched", 50 / 1450 * 100)], ACCURACY
     )
     lines = summary_lines(ahead, accuracy, "2024-03-25T16:00:00Z", title="Summary")
-    write_lines(lines, str(tmp_path / "summary"), F.col("line"), ["line_no"])
+    write_lines(lines, str(tmp_path / "summary"), F.col("line"), ["line_no"], per_series=True)
     text = (tmp_path / "summary" / "series=ca")
     (file,) = text.glob("part-*.txt")
     assert file.read_text() == (

@@ -26,6 +26,7 @@ def seed(spark, path, *rows):
 
 
 def run(panel, tmp_path, **options):
+    options = {"per_series_files": True, **options}
     return weekly_run(
         panel, str(tmp_path / "ledger"), AS_OF, out_path=str(tmp_path / "out"), params=SMALL, **options
     )
@@ -92,8 +93,11 @@ def test_three_paths_in_one_panel(spark, tmp_path):
 def test_high_threshold_does_not_alert(spark, sample, tmp_path):
     week, actual = sample_rows()[-5][1], sample_rows()[-5][3]
     seed(spark, str(tmp_path / "ledger"), ("ca", week, actual * 1.5, 0.0, 1.0))
-    got = run(sample, tmp_path, threshold=0.99)
+    got = run(sample, tmp_path, threshold=0.99, per_series_files=False)
     assert got["alerts"].isEmpty() and not got["accuracy"].isEmpty()
+    text = [r.value for r in spark.read.text(str(tmp_path / "out" / "summary")).collect()]
+    assert text == [r.line for r in got["summary"].orderBy("line_no").collect()]
+    assert spark.read.parquet(str(tmp_path / "out" / "outputs")).count() == 2
 
 
 def test_interval_from_unseen_weeks(spark, sample, tmp_path):
@@ -112,7 +116,7 @@ def test_nothing_but_short_series(spark, tmp_path):
 
 
 def test_a_failed_run_leaves_the_ledger_and_can_be_repeated(spark, sample, tmp_path, monkeypatch):
-    def broken(results, out_path):
+    def broken(results, out_path, per_series):
         raise OSError("disk full")
 
     monkeypatch.setattr(weekly, "_write", broken)

@@ -50,7 +50,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if panel.isEmpty():
         raise ValueError("no data for the asked regions")
     params = ModelParams(trees=args.trees)
-    done = weekly_run(panel, args.ledger, as_of, args.threshold, args.out, params)
+    done = weekly_run(
+        panel, args.ledger, as_of, args.threshold, args.out, params, per_series_files=True
+    )
     for row in done["gate"].groupBy("action", "reason").count().collect():
         log.info("%s (%s): %d series", row.action, row.reason, row["count"])
 

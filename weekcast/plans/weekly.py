@@ -55,6 +55,7 @@ def weekly_run(
     ledger_format: str = "parquet",
     title: str = "Weekly Forecast Summary",
     interval_from: str = "training",
+    per_series_files: bool = False,
 ) -> dict[str, DataFrame]:
     """Run every series of ``panel``, a table at rest, through its own path.
 
@@ -67,7 +68,9 @@ def weekly_run(
     data finds every series waiting.
 
     ``interval_from="validation"`` takes the interval from errors on weeks the
-    model had not seen instead of from its own fit.
+    model had not seen instead of from its own fit.  ``per_series_files`` writes
+    the summary and the scheduler keys as one text folder per series, for panels
+    of some hundreds; without it summaries share files and keys are a table.
     """
     if interval_from not in ("training", "validation"):
         raise ValueError(f"interval_from must be 'training' or 'validation', not {interval_from!r}")
@@ -116,16 +119,20 @@ def weekly_run(
 
     if not forecasts.where(F.col("predicted_ili").isNotNull()).isEmpty():
         if out_path is not None:
-            _write(results, out_path)
+            _write(results, out_path, per_series_files)
         ledger_append(forecasts, ledger_path, as_of, ledger_format)
     return results
 
 
-def _write(results: dict[str, DataFrame], out_path: str) -> None:
+def _write(results: dict[str, DataFrame], out_path: str, per_series: bool) -> None:
     made = results["forecasts"].where(F.col("predicted_ili").isNotNull())
     forecast_csv(made, f"{out_path}/prediction")
-    write_lines(results["summary"], f"{out_path}/summary", F.col("line"), ["line_no"])
-    key_value = F.concat_ws("=", "key", "value")
-    write_lines(results["outputs"], f"{out_path}/outputs", key_value, [WEEK_START, "key"])
-    for name in ("chart", "alerts", "accuracy"):
+    write_lines(results["summary"], f"{out_path}/summary", F.col("line"), ["line_no"], per_series)
+    tables = ["chart", "alerts", "accuracy"]
+    if per_series:
+        key_value = F.concat_ws("=", "key", "value")
+        write_lines(results["outputs"], f"{out_path}/outputs", key_value, [WEEK_START, "key"], True)
+    else:
+        tables.append("outputs")
+    for name in tables:
         results[name].write.mode("overwrite").parquet(f"{out_path}/{name}")

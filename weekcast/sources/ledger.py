@@ -63,21 +63,28 @@ def read_ledger(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def ledger_quarantine(ledger: DataFrame) -> DataFrame:
-    """Lines that could not be read in full; most carry no series.
+    """Rows that cannot count as a forecast: unreadable lines, most of which
+    carry no series, and rows without one of the required fields.
 
     All columns are kept, because JSON is parsed only for the columns in use
     and a line counts as corrupt for those alone.
     """
-    return ledger.where(F.col(CORRUPT).isNotNull())
+    bad = F.col(CORRUPT).isNotNull()
+    for name in REQUIRED:
+        bad = bad | F.col(name).isNull()
+    return ledger.where(bad)
 
 
-def ledger_latest_valid(ledger: DataFrame) -> DataFrame:
+def ledger_latest_valid(ledger: DataFrame | str, fmt: str = "parquet") -> DataFrame:
     """The newest row of every series, if that row is complete.
 
-    An incomplete newest row leaves the series without a forecast (cold
-    start); older rows are not consulted.  ``generated_at`` itself may be NULL
-    and then ranks last.  Spark cuts the rank to one row per series before the shuffle.
+    ``ledger`` is a table or the path of one.  An incomplete newest row leaves
+    the series without a forecast (cold start); older rows are not consulted.
+    ``generated_at`` itself may be NULL and then ranks last.  Spark cuts the
+    rank to one row per series before the shuffle.
     """
+    if isinstance(ledger, str):
+        ledger = read_ledger(SparkSession.active(), ledger, fmt)
     broken = F.col(CORRUPT).isNotNull() if CORRUPT in ledger.columns else F.lit(False)
     newest = Window.partitionBy(SERIES).orderBy(
         F.col("generated_at").desc_nulls_last(),

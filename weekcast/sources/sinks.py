@@ -148,17 +148,22 @@ def alert_outputs(accuracy: DataFrame, threshold: float = ALERT_THRESHOLD) -> Da
     return defined.select(SERIES, WEEK_START, F.inline(pairs))
 
 
-def write_lines(lines: DataFrame, path: str, line: Column, order: list[str]) -> None:
-    """Text files with one line per row, a folder per series.
-
-    All lines of a series come out of one input row, hence sit in one task;
-    sorting there is enough to keep them in order.
+def write_lines(
+    lines: DataFrame, path: str, line: Column, order: list[str], per_series: bool
+) -> None:
+    """Text files with one line per row, in order within each series.
+
+    ``per_series`` makes a folder for each series, which suits some hundreds of
+    them; otherwise the files hold many series one after the other.  All lines
+    of a series come out of one input row, hence sit in one task, so sorting
+    there is enough.
     """
-    (
+    text = (
         lines.select(SERIES, *order, line.alias("value"))
         .sortWithinPartitions(SERIES, *order)
         .select(SERIES, "value")
-        .write.mode("overwrite")
-        .partitionBy(SERIES)
-        .text(path)
     )
+    if per_series:
+        text.write.mode("overwrite").partitionBy(SERIES).text(path)
+    else:
+        text.select("value").write.mode("overwrite").text(path)
