@@ -22,7 +22,7 @@ from ..operators.reconcile import (
 )
 from ..operators.split import chronological_split
 from ..schema import ALERT_THRESHOLD, FORECAST, OBSERVATION_COLUMNS, SERIES, WEEK_START
-from ..session import broadcast_if_small, cut_lineage
+from ..session import cut_lineage
 from ..sources.ledger import ledger_append, ledger_latest_valid, read_ledger
 from ..sources.observations import coverage_stats
 from ..sources.sinks import (
@@ -77,13 +77,12 @@ def weekly_run(
     spark = panel.sparkSession
     panel = panel.select(*OBSERVATION_COLUMNS)
     latest = cut_lineage(ledger_latest_valid(read_ledger(spark, ledger_path, ledger_format)))
-    latest = broadcast_if_small(latest)
     looked_up = cut_lineage(forecast_actual_lookup(latest, panel, strict))
     accuracy = forecast_accuracy(looked_up)
     gate = cut_lineage(refresh_gate(panel, latest, strict, looked_up))
 
     retrain = gate.where(F.col("action") == RETRAIN).select(SERIES)
-    due = panel.join(broadcast_if_small(retrain), SERIES, "left_semi")
+    due = panel.join(retrain, SERIES, "left_semi")
     results = {
         "coverage": coverage_stats(panel),
         "gate": gate,

@@ -1,58 +1,75 @@
-"""Session helpers: where intermediate files go and how lineage is cut."""
+"""Session helpers: where intermediate tables go and how lineage is cut.
+
+Intermediate tables are Parquet files in a folder all executors share.  Unlike
+row checkpoints they keep column statistics and a size, so that later reads
+prune columns and Spark can tell a small join side by itself.
+"""
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may go without the setting; it then gets a
-    temporary folder, because there the driver and the executors share a disk.
+    Only a local-mode session may go without the setting; it then uses a folder
+    below the warehouse, because there the driver and the executors share a disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return os.path.dirname(current.rstrip("/"))
+        return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="weekcast-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """For Spark ML, which checkpoints the running residuals of long fits."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, for a table that is written and read back."""
-    ensure_checkpoint_dir(spark)
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``run_dir`` in whatever store it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Fix ``df`` as files in the shared folder, so a lost executor re-reads it
+
+def cut_lineage(df: DataFrame, label: str = "table", path: str | None = None) -> DataFrame:
+    """Fix ``df`` as Parquet in the shared folder, so a lost executor re-reads it
     instead of recomputing it from inputs that may have changed since."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = path or run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast for a narrow table that was fixed by ``cut_lineage``,
-    after counting that it holds at most ``BROADCAST_ROWS`` rows.
+class Scratch:
+    """The intermediate tables of one run, below one folder of the shared one."""
 
-    Spark keeps no size for a checkpoint, so without the hint the other side
-    of a join would be shuffled however small this one is.
-    """
-    few = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(df) if few else df
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path, self.made = spark, run_dir(spark, label), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.made += 1
+        return cut_lineage(df, path=f"{self.path}/{self.made:03d}")
+
+    def remove(self) -> None:
+        remove(self.spark, self.path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[Scratch]:
+    """Removed when the block succeeds; after a failure the files stay for a look."""
+    made = Scratch(spark, label)
+    yield made
+    made.remove()
