@@ -8,8 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import exact_dedup, packing, quality, secrets, toxicity
-from .common import DOC_ID, documents
+from . import (
+    exact_dedup,
+    minhash,
+    packing,
+    quality,
+    secrets,
+    sentencepiece_codec,
+    sharding,
+    toxicity,
+    url_filter,
+)
+from .common import DOC_ID, TEXT, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +31,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 def _span_list(spans: str):
     texts = F.transform(
         spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
@@ -60,6 +74,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col(TEXT), F.lit(""))
+    narrow = documents(spark, sf_dir).select(
+        DOC_ID,
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("text_key"),
+    )
+    return sharding.shard(narrow, 40, F.col("text_key"), F.col("size")).select(
+        DOC_ID, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return url_filter.judge(pages, url_filter.fit(pages)).drop("url")
+
+
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled rows that are not held out."""
     return spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out())
@@ -83,15 +116,23 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(documents(spark, sf_dir)).drop("clean_text")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_sharding": op6_sharding,
+    "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
+    "op9_minhash": op9_minhash,
     "op10_quality": op10_quality,
 }
 
