@@ -16,6 +16,7 @@ from . import (
     secrets,
     sentencepiece_codec,
     sharding,
+    suffix_dedup,
     toxicity,
     url_filter,
 )
@@ -74,6 +75,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col(TEXT), F.lit(""))
     narrow = documents(spark, sf_dir).select(
@@ -129,6 +134,7 @@ QUERIES: dict[str, Query] = {
     "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
     "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
