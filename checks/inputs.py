@@ -29,11 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per region and Sunday week: urgent orders, all orders, share.
+BY_REGION = ("r_name",)
+BY_SEGMENT = ("n_name", "c_mktsegment")
 
-    Grouped by week, so a series has at most one row per week; the calendar
-    bounds its length whatever the size of ``orders``.
+
+def weekly_panel(
+    spark: SparkSession, sf_dir: str, key: tuple[str, ...] = BY_SEGMENT
+) -> DataFrame:
+    """One row per series and Sunday week: urgent orders, all orders, share.
+
+    A series is a nation's market segment (125 of them), so that the panel grows
+    with ``orders`` up to the calendar's bound; a week without orders has no row.
     """
     day = F.to_date("o_orderdate")
     orders = table(spark, sf_dir, "orders").select(
@@ -46,7 +52,7 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", F.col("r_name").alias(SERIES))
+        .select("c_custkey", F.concat_ws("-", *key).alias(SERIES))
     )
     urgent, total = F.col(TARGET), F.col("total_patients")
     counted = (
@@ -85,12 +91,14 @@ def ledger(panel: DataFrame) -> DataFrame:
     """A ledger with every kind of series.
 
     Each week with a full four-week window gets the forecast mean ± 2 standard
-    deviations, made the day before.  AMERICA also has a forecast for the week
-    after its last one (pending), ASIA's newest row lacks a bound (invalid) and
-    EUROPE has no rows (cold start).
+    deviations, made the day before.  FURNITURE series also have a forecast for
+    the week after their last one (pending), the newest rows of BUILDING lack a
+    bound (invalid), MACHINERY has no rows (cold start), and MOON is a series
+    that the panel lacks (no data).
     """
+    segment = F.substring_index(SERIES, "-", -1)
     rolled = rolling_features(panel, windows=(4,), layout="series").where(
-        F.col("roll_mean_4").isNotNull() & (F.col(SERIES) != "EUROPE")
+        F.col("roll_mean_4").isNotNull() & (segment != "MACHINERY")
     )
     mean, half = F.col("roll_mean_4"), 2 * F.col("roll_std_4")
     rows = rolled.select(
@@ -103,15 +111,31 @@ def ledger(panel: DataFrame) -> DataFrame:
         F.max(WEEK_START).over(Window.partitionBy(SERIES)).alias("_last"),
     )
     newest = F.col(WEEK_START) == F.col("_last")
-    ahead = rows.where(newest & F.col(SERIES).isin("AMERICA", "ASIA")).select(
+    ahead = rows.where(newest & segment.isin("FURNITURE", "BUILDING")).select(
         SERIES,
         F.date_add(WEEK_START, 7).alias(WEEK_START),
         "predicted_ili",
-        F.when(F.col(SERIES) == "AMERICA", F.col("ci_lower")).alias("ci_lower"),
+        F.when(segment == "FURNITURE", F.col("ci_lower")).alias("ci_lower"),
         "ci_upper",
         F.date_add(WEEK_START, 6).cast("timestamp").alias("generated_at"),
     )
-    return rows.select(*LEDGER.names).unionByName(ahead)
+    made = rows.select(*LEDGER.names)
+    lost = made.where(F.col(SERIES) == "NATION_1-HOUSEHOLD").withColumn(SERIES, F.lit("MOON"))
+    return made.unionByName(ahead).unionByName(lost)
+
+
+def gappy_panel(panel: DataFrame) -> DataFrame:
+    """The panel without a target in every twentieth epiweek, and in the newest
+    row but one of AUTOMOBILE series."""
+    recent = F.row_number().over(Window.partitionBy(SERIES).orderBy(F.desc(WEEK_START)))
+    gone = (F.col("week") % 20 == 0) | (
+        F.col(SERIES).endswith("AUTOMOBILE") & (F.col("_recent") == 2)
+    )
+    return (
+        panel.withColumn("_recent", recent)
+        .withColumn(TARGET, F.when(~gone, F.col(TARGET)))
+        .drop("_recent")
+    )
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Written from the definitions, not from the Spark code: common table
 expressions for the panel and what is derived from it, then one SELECT per
-query.  Queries whose result depends on the fitted trees have none.
+query.  Queries whose result depends on 200 fitted trees have none.
 """
 
 from __future__ import annotations
@@ -30,18 +30,25 @@ p AS (
          (year(week_start) * 100 + (dayofyear(week_start) - 1) // 7 + 1)::INT AS week,
          ilitotal, total_patients, 100 * ilitotal / total_patients AS percent_ili
   FROM (
-    SELECT r_name AS series,
+    SELECT n_name || '-' || c_mktsegment AS series,
            o_orderdate::DATE - dayofweek(o_orderdate)::INT AS week_start,
            (count(*) FILTER (WHERE o_orderpriority = '1-URGENT'))::DOUBLE AS ilitotal,
            count(*)::DOUBLE AS total_patients
     FROM orders
     JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey
-    JOIN region ON n_regionkey = r_regionkey
     GROUP BY 1, 2
   )
 )"""
 
+# Some weeks lack a value.
+GAPPY = PANEL.replace("p AS (", "p0 AS (", 1) + """,
+p AS (
+  SELECT * EXCLUDE (rr)
+         REPLACE (CASE WHEN week % 20 <> 0 AND NOT (series LIKE '%-AUTOMOBILE' AND rr = 2) THEN ilitotal END AS ilitotal)
+  FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY week_start DESC) AS rr FROM p0)
+)"""
+
 LAG_SQL = [f"lag(ilitotal, {k}) OVER w AS lag_{k}" for k in LAGS]
 TREND_SQL = "lag(ilitotal, 1) OVER w - lag(ilitotal, 5) OVER w AS trend_4w"
 ROLL_SQL = [
@@ -140,8 +147,9 @@ s AS (
 def bounded(points: str) -> str:
     return f"""
   SELECT series, week_start, predicted_ili,
-         greatest(0.0, predicted_ili + lo) AS ci_lower, predicted_ili + hi AS ci_upper,
-         predicted_ili BETWEEN greatest(0.0, predicted_ili + lo) AND predicted_ili + hi AS interval_ok
+         CASE WHEN lo IS NOT NULL THEN greatest(0.0, predicted_ili + lo) END AS ci_lower, predicted_ili + hi AS ci_upper,
+         CASE WHEN lo IS NOT NULL
+              THEN predicted_ili BETWEEN greatest(0.0, predicted_ili + lo) AND predicted_ili + hi END AS interval_ok
   FROM ({points}) LEFT JOIN s USING (series)"""
 
 
@@ -158,16 +166,19 @@ q AS (
     SELECT series, week_start,
            count(ilitotal) OVER x AS k, avg(ilitotal) OVER x AS m, stddev_samp(ilitotal) OVER x AS sd
     FROM p WINDOW x AS (PARTITION BY series ORDER BY week_start ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)
-  ) WHERE k = 4 AND series <> 'EUROPE'
+  ) WHERE k = 4 AND series NOT LIKE '%-MACHINERY'
 ),
 l AS (
   SELECT series, week_start, m AS predicted_ili, greatest(0.0, m - 2 * sd) AS ci_lower,
          m + 2 * sd AS ci_upper, (week_start - 1)::TIMESTAMP AS generated_at
   FROM q
   UNION ALL
-  SELECT series, week_start + 7, m, CASE WHEN series = 'AMERICA' THEN greatest(0.0, m - 2 * sd) END,
+  SELECT series, week_start + 7, m, CASE WHEN series LIKE '%-FURNITURE' THEN greatest(0.0, m - 2 * sd) END,
          m + 2 * sd, (week_start + 6)::TIMESTAMP
-  FROM q WHERE week_start = last_start AND series IN ('AMERICA', 'ASIA')
+  FROM q WHERE week_start = last_start AND (series LIKE '%-FURNITURE' OR series LIKE '%-BUILDING')
+  UNION ALL
+  SELECT 'MOON', week_start, m, greatest(0.0, m - 2 * sd), m + 2 * sd, (week_start - 1)::TIMESTAMP
+  FROM q WHERE series = 'NATION_1-HOUSEHOLD'
 ),
 v AS (
   SELECT * EXCLUDE (g) FROM (
@@ -199,22 +210,93 @@ def accuracy(name: str, source: str) -> str:
 )"""
 
 
-def mean_forecast(frame: str) -> str:
-    """The mean of all training rows as every series' forecast."""
+def residual_spans(frame: str, fitted: str) -> str:
+    """Quantiles of the fit's errors over the newest 30 rows of each series."""
     return f"""
-mu AS (SELECT avg(ilitotal) AS mean FROM {frame}),
 s AS (
-  SELECT series, quantile_cont(ilitotal - mean, 0.025) AS lo, quantile_cont(ilitotal - mean, 0.975) AS hi
-  FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY week_start DESC) AS rr FROM {frame}), mu
+  SELECT series, quantile_cont(ilitotal - fitted, 0.025) AS lo, quantile_cont(ilitotal - fitted, 0.975) AS hi
+  FROM (SELECT *, {fitted} AS fitted, row_number() OVER (PARTITION BY series ORDER BY week_start DESC) AS rr
+        FROM {frame})
   WHERE rr <= 30 GROUP BY series
-),
-z AS ({bounded(f"""
-  SELECT t.series, t.last_start + 7 AS week_start, mean AS predicted_ili
-  FROM (SELECT series, max(week_start) AS last_start FROM p GROUP BY series) t, mu
-  WHERE t.series IN (SELECT series FROM {frame})""")}
 )"""
 
 
+def forecast(points: str) -> str:
+    """``points``: series, week_start, n (rows of the series), value, missing (a feature)."""
+    usable = "n > 52 AND lo IS NOT NULL AND value IS NOT NULL"
+    low = "greatest(0.0, greatest(0.0, value) + lo)"
+    return f"""
+z AS (
+  SELECT series, week_start,
+         CASE WHEN {usable} THEN greatest(0.0, value) END AS predicted_ili,
+         CASE WHEN {usable} THEN {low} END AS ci_lower,
+         CASE WHEN {usable} THEN greatest(0.0, value) + hi END AS ci_upper,
+         CASE WHEN {usable} THEN greatest(0.0, value) BETWEEN {low} AND greatest(0.0, value) + hi END AS interval_ok,
+         CASE WHEN NOT ({usable}) THEN 'insufficient_history' WHEN missing THEN 'missing_feature' ELSE 'ok' END AS status
+  FROM ({points}) LEFT JOIN s USING (series)
+)"""
+
+
+COUNTED = "SELECT series, max(week_start) AS last_start, count(*) AS n FROM p GROUP BY series"
+LACKING = " OR ".join(f"{c} IS NULL" for c in FEATURES)
+
+
+def mean_forecast(frame: str, due: str = "true") -> str:
+    """The mean of all training rows as the forecast of every series."""
+    return f"""
+mu AS (SELECT avg(ilitotal) AS mean FROM {frame}),
+{residual_spans(frame, "(SELECT mean FROM mu)")},
+{forecast(f"""
+  SELECT series, last_start + 7 AS week_start, n, (SELECT mean FROM mu) AS value, false AS missing
+  FROM ({COUNTED}) WHERE {due}""")}"""
+
+
+def gappy_forecast(strict: bool) -> str:
+    value = f"CASE WHEN NOT ({LACKING}) THEN (SELECT mean FROM mu) END" if strict else "(SELECT mean FROM mu)"
+    return f"""WITH {GAPPY},{FRAME},{RANKED},{point('parity')},
+mu AS (SELECT avg(ilitotal) AS mean FROM f),
+{residual_spans('f', '(SELECT mean FROM mu)')},
+{forecast(f"SELECT c.series, c.week_start, t.n, {value} AS value, ({LACKING}) AS missing FROM c JOIN ({COUNTED}) t USING (series)")}
+SELECT {FORECAST_OUT}, interval_ok, status FROM z"""
+
+
+STUMP_FEATURES = ", ".join(LAG_NAMES)
+STUMP_NAMES = ", ".join(f"'{name}'" for name in LAG_NAMES)
+
+
+def stump(name: str, frame: str, y: str) -> str:
+    """The cut with the least squared error: both sides hold 30 rows or more."""
+    return f"""
+{name} AS (
+  SELECT place, threshold, ls / ln AS low, (ts - ls) / (tn - ln) AS high
+  FROM (
+    SELECT place, (x + lead(x) OVER o) / 2 AS threshold, sum(s) OVER o AS ls, sum(n) OVER o AS ln,
+           sum(s) OVER (PARTITION BY place) AS ts, sum(n) OVER (PARTITION BY place) AS tn
+    FROM (
+      SELECT place, x, sum(y) AS s, count(*) AS n
+      FROM (SELECT unnest(range(1, {len(LAG_NAMES) + 1})) AS place, unnest([{STUMP_FEATURES}]) AS x, {y} AS y FROM {frame})
+      GROUP BY place, x
+    )
+    WINDOW o AS (PARTITION BY place ORDER BY x)
+  )
+  WHERE threshold IS NOT NULL AND ln >= 30 AND tn - ln >= 30
+  ORDER BY ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) DESC, place, threshold LIMIT 1
+)"""
+
+
+def leaf(name: str) -> str:
+    side = f"[{STUMP_FEATURES}][(SELECT place FROM {name})] <= (SELECT threshold FROM {name})"
+    return f"(CASE WHEN {side} THEN (SELECT low FROM {name}) ELSE (SELECT high FROM {name}) END)"
+
+
+def stumps(frame: str) -> str:
+    """Two trees: the second is fitted to what the first leaves."""
+    return stump("t1", frame, "ilitotal") + "," + stump("t2", frame, f"ilitotal - {leaf('t1')}")
+
+
+STUMPED = f"({leaf('t1')} + 0.05 * {leaf('t2')})"
+
+
 FORECAST_OUT = f"series, {DAY}, " + ", ".join(r6(c) for c in ("predicted_ili", "ci_lower", "ci_upper"))
 LOOKED_OUT = f"{FORECAST_OUT}, {MADE}, actual_ili, status"
 ACCURACY_OUT = f"{LOOKED_OUT}, {r6('abs_deviation')}, {r6('deviation_pct')}, in_interval, direction, accuracy"
@@ -225,8 +307,9 @@ GATE = """
 g AS (
   SELECT series, CASE WHEN reason IN ('cold_start', 'matched') THEN 'retrain' ELSE 'skip' END AS action, reason
   FROM (
-    SELECT t.series, coalesce(k.status, 'cold_start') AS reason
-    FROM (SELECT DISTINCT series FROM p) t LEFT JOIN k USING (series)
+    SELECT coalesce(t.series, k.series) AS series,
+           CASE WHEN t.series IS NULL THEN 'no_data' ELSE coalesce(k.status, 'cold_start') END AS reason
+    FROM (SELECT DISTINCT series FROM p) t FULL JOIN k ON k.series = t.series
   )
 )"""
 
@@ -342,14 +425,19 @@ SELECT series, layer, {DAY}, {r6('value')}, {r6('lo')}, {r6('hi')} FROM (
 OUTPUTS = f"""
 SELECT series, {DAY}, unnest(keys) AS key, unnest(vals) AS value FROM (
   SELECT series, week_start,
-    CASE WHEN deviation_pct > 20 THEN
+    CASE WHEN deviation_pct IS NULL THEN
+      ['comparison_alert', 'comparison_week', 'comparison_predicted', 'comparison_actual']
+    WHEN deviation_pct > 20 THEN
       ['comparison_alert', 'comparison_week', 'comparison_predicted', 'comparison_actual', 'comparison_deviation_pct']
     ELSE ['comparison_alert', 'comparison_deviation_pct'] END AS keys,
-    CASE WHEN deviation_pct > 20 THEN
+    CASE WHEN deviation_pct IS NULL THEN
+      ['undefined', strftime(week_start, '%Y-%m-%d'), format('{{:.0f}}', predicted_ili),
+       format('{{:.0f}}', actual_ili)]
+    WHEN deviation_pct > 20 THEN
       ['true', strftime(week_start, '%Y-%m-%d'), format('{{:.0f}}', predicted_ili),
        format('{{:.0f}}', actual_ili), format('{{:.1f}}', deviation_pct)]
     ELSE ['false', format('{{:.1f}}', deviation_pct)] END AS vals
-  FROM a WHERE deviation_pct IS NOT NULL
+  FROM a
 )"""
 
 ALERTS = f"""
@@ -372,6 +460,10 @@ WITH {BASELINE}
 SELECT {FORECAST_OUT}, generated_at
 FROM b CROSS JOIN (VALUES ('2001-08-06 16:00:00'), ('2001-08-13 16:00:00')) AS t(generated_at)"""
 
+SPLIT_FRAME = f"""WITH {REPEATING},{features('h', f'WINDOW w AS ({FULL_ORDER})')}
+SELECT {FRAME_OUT}, CASE WHEN 5 * row_number() OVER ({FULL_ORDER}, {", ".join(FEATURES)}) <= 4 * count(*) OVER (PARTITION BY series)
+                         THEN 'train' ELSE 'validation' END AS split FROM f"""
+
 ORACLES: dict[str, str] = {
     "payload_rows": f"""WITH {EVENTS}
 SELECT payload_id, series, week_start, epiweek::VARCHAR AS epiweek, num_ili,
@@ -395,7 +487,7 @@ SELECT o_orderkey, epiweek, {text(f'{MMWR} + {SHIFT}', 'week_start')} FROM j""",
     "mmwr_week_start": f"""WITH {ORDER_WEEKS}
 SELECT o_orderkey, epiweek, {text(MMWR, 'week_start')} FROM j""",
     "scope_filter": f"""WITH {PANEL} SELECT {BASE} FROM p
-WHERE series IN ('ASIA', 'EUROPE') AND week BETWEEN 199101 AND 200052""",
+WHERE series IN ('NATION_1-BUILDING', 'NATION_2-MACHINERY') AND week BETWEEN 199101 AND 200052""",
     "coverage_stats": f"""WITH {PANEL}
 SELECT series, count(*)::BIGINT AS n_rows, min(week_start)::VARCHAR AS first_week, max(week_start)::VARCHAR AS last_week,
        ((max(week_start) - min(week_start)) // 7 + 1 - count(DISTINCT week_start))::BIGINT AS missing_weeks,
@@ -430,10 +522,28 @@ FROM f JOIN u USING (week_start)""",
 SELECT {BASE}, CASE WHEN 5 * row_number() OVER ({FULL_ORDER}) <= 4 * count(*) OVER (PARTITION BY series)
                     THEN 'train' ELSE 'validation' END AS split FROM h""",
     "regression_metrics": f"""WITH {PANEL},{FRAME},{SPLIT}
-SELECT series, split, {r6('sqrt(avg((ilitotal - roll_mean_4) ** 2))', 'rmse')},
-       {r6('1 - sum((ilitotal - roll_mean_4) ** 2) / nullif(var_pop(ilitotal) * count(*), 0)', 'r2')},
+SELECT series, split, {r6('sqrt(avg((ilitotal - roll_mean_12) ** 2))', 'rmse')},
+       {r6('1 - sum((ilitotal - roll_mean_12) ** 2) / nullif(var_pop(ilitotal) * count(*), 0)', 'r2')},
        count(*)::BIGINT AS n
 FROM d GROUP BY series, split""",
+    "chronological_split_frame": SPLIT_FRAME,
+    "chronological_split_frame_blocks": SPLIT_FRAME,
+    "chronological_split_frame_auto": SPLIT_FRAME,
+    "fit_forecaster_stumps": f"""WITH {PANEL},{FRAME},{stumps('f')}
+SELECT 1::INT AS tree, [{STUMP_NAMES}][place] AS feature, {r6('threshold')}, {r6('low')}, {r6('high')} FROM t1
+UNION ALL SELECT 2, [{STUMP_NAMES}][place], {r6('threshold')}, {r6('0.05 * low', 'low')}, {r6('0.05 * high', 'high')} FROM t2""",
+    "score_stumps": f"""WITH {PANEL},{FRAME},{stumps('f')}
+SELECT series, {DAY}, ilitotal, {r6(STUMPED, 'prediction')}, 'ok' AS status FROM f""",
+    "backtest_stumps": f"""WITH {PANEL},{FRAME},{SPLIT},
+early AS (SELECT * FROM d WHERE split = 'train'),{stumps('early')}
+SELECT split, {r6('sqrt(avg((ilitotal - fitted) ** 2))', 'rmse')},
+       {r6('1 - sum((ilitotal - fitted) ** 2) / nullif(var_pop(ilitotal) * count(*), 0)', 'r2')},
+       count(*)::BIGINT AS n
+FROM (SELECT *, {STUMPED} AS fitted FROM d) GROUP BY split""",
+    "next_forecast_stumps": f"""WITH {PANEL},{FRAME},{RANKED},{point('parity')},{stumps('f')},
+{residual_spans('f', STUMPED)},
+{forecast(f"SELECT c.series, c.week_start, t.n, {STUMPED} AS value, false AS missing FROM c JOIN ({COUNTED}) t USING (series)")}
+SELECT {FORECAST_OUT}, interval_ok, status FROM z""",
     "backtest_mean_model": f"""WITH {PANEL},{FRAME},{SPLIT},
 mu AS (SELECT avg(ilitotal) AS mean FROM d WHERE split = 'train')
 SELECT split, {r6('sqrt(avg((ilitotal - mean) ** 2))', 'rmse')},
@@ -441,7 +551,9 @@ SELECT split, {r6('sqrt(avg((ilitotal - mean) ** 2))', 'rmse')},
        count(*)::BIGINT AS n
 FROM d, mu GROUP BY split""",
     "next_forecast_mean_model": f"""WITH {PANEL},{FRAME},{mean_forecast('f')}
-SELECT {FORECAST_OUT}, interval_ok, 'ok' AS status FROM z""",
+SELECT {FORECAST_OUT}, interval_ok, status FROM z""",
+    "next_forecast_missing": gappy_forecast(strict=False),
+    "next_forecast_missing_strict": gappy_forecast(strict=True),
     "residual_interval": f"""WITH {PANEL},{FRAME},{SPANS}
 SELECT {FORECAST_OUT}, interval_ok FROM ({
         bounded('SELECT series, max(week_start) + 7 AS week_start, avg(ilitotal) AS predicted_ili FROM p GROUP BY series')
@@ -460,9 +572,9 @@ SELECT {FORECAST_OUT}, {MADE} FROM v""",
     "alert_outputs": f"WITH {PANEL},{ALL_ACCURACY} {OUTPUTS}",
     "weekly_run_status": f"""WITH {PANEL},{NEWEST_ACCURACY},{GATE},{FRAME},
 due AS (SELECT f.* FROM f JOIN g USING (series) WHERE g.action = 'retrain'),
-{mean_forecast('due')}
+{mean_forecast('due', "series IN (SELECT series FROM g WHERE action = 'retrain')")}
 SELECT g.series, g.action, g.reason, {text('z.week_start', 'next_week')},
-       {r6('z.predicted_ili', 'predicted_ili')}, {r6('z.ci_lower', 'ci_lower')}, {r6('z.ci_upper', 'ci_upper')},
+       {r6('z.predicted_ili', 'predicted_ili')}, {r6('z.ci_lower', 'ci_lower')}, {r6('z.ci_upper', 'ci_upper')}, z.status,
        a.week_start::VARCHAR AS prior_week, a.actual_ili, {r6('a.deviation_pct', 'deviation_pct')},
        CASE WHEN g.action = 'skip' THEN v.week_start::VARCHAR END AS standing_week
 FROM g LEFT JOIN z ON z.series = g.series LEFT JOIN a ON a.series = g.series

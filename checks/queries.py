@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from weekcast import operators as op
 from weekcast import sources as src
 from weekcast.functions import epiweek_to_date, mmwr_week_start
-from weekcast.operators.order import ranked_newest
-from weekcast.plans import weekly_run
-from weekcast.schema import FEATURES, OBSERVATION_COLUMNS, SERIES, TARGET, WEEK_START
+from weekcast.plans import WeeklyRun, weekly_run
+from weekcast.schema import FEATURES, LAGS, OBSERVATION_COLUMNS, SERIES, TARGET, WEEK_START, YEAR_LAG
 from weekcast.session import cut_lineage, run_dir
 
 from . import inputs
@@ -24,10 +23,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2001-08-06T16:00:00Z"
 LATER = "2001-08-13T16:00:00Z"
-FEW_TREES = op.ModelParams(trees=10)
-# No leaf may be split, so the model is the mean of its rows: everything around
-# the trees (split, refit, scoring, interval) can then be checked by SQL.
-MEAN_MODEL = op.ModelParams(trees=1, min_leaf_rows=1_000_000_000)
+TREES = op.ModelParams()
+# A tree without levels is the mean of its rows: everything around the trees
+# (split, refit, scoring, interval) can then be checked by SQL.
+MEAN_MODEL = op.ModelParams(trees=1, depth=0)
+# Two trees of one cut each, over features of few distinct values: the best cut
+# and both leaf means are plain SQL.
+STUMPS = op.ModelParams(trees=2, depth=1, feature_share=1.0)
+STUMP_FEATURES = [f"lag_{k}" for k in (*LAGS, YEAR_LAG)]
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -107,7 +110,7 @@ def mmwr_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scope(panel: DataFrame) -> DataFrame:
-    return src.scope_filter(panel, ["ASIA", "EUROPE"], "1999-06-01")
+    return src.scope_filter(panel, ["NATION_1-BUILDING", "NATION_2-MACHINERY"], "1999-06-01")
 
 
 # --- features ----------------------------------------------------------------
@@ -122,6 +125,16 @@ def split_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(op.chronological_split(panel, layout="blocks"))
 
 
+def split_frame(layout: str) -> Query:
+    """The split of a training frame whose observations repeat."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frame = op.training_frame(inputs.repeating_panel(spark, sf_dir), layout="series")
+        return comparable(op.chronological_split(cut_lineage(frame), layout=layout))
+
+    return query
+
+
 # --- model -------------------------------------------------------------------
 
 
@@ -135,7 +148,7 @@ def split(panel: DataFrame, scope: str = "series") -> DataFrame:
 
 
 def metrics(panel: DataFrame) -> DataFrame:
-    scored = _split_frame(panel).withColumn("prediction", F.col("roll_mean_4"))
+    scored = _split_frame(panel).withColumn("prediction", F.col("roll_mean_12"))
     return op.regression_metrics(scored, TARGET, "prediction", (SERIES, "split"))
 
 
@@ -145,22 +158,37 @@ def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fit_forecaster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much each feature contributes to the fitted model."""
-    model = op.fit_forecaster(_frame(spark, sf_dir), FEW_TREES)
+    model = op.fit_forecaster(_frame(spark, sf_dir), TREES)
     weights = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(FEATURES, weights)), "feature string, importance double")
 
 
-def score(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fit_forecaster_stumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cut of each tree and what its two leaves add to a prediction."""
+    trees = op.fit_forecaster(_frame(spark, sf_dir), STUMPS, STUMP_FEATURES).stages[-1]
+    rows = []
+    for n, (tree, weight) in enumerate(zip(trees.trees, trees.treeWeights)):
+        root = tree._java_obj.rootNode()
+        low, high = (side.prediction() * weight for side in (root.leftChild(), root.rightChild()))
+        cut = root.split()
+        rows.append((n + 1, STUMP_FEATURES[cut.featureIndex()], cut.threshold(), low, high))
+    schema = "tree int, feature string, threshold double, low double, high double"
+    return comparable(spark.createDataFrame(rows, schema))
+
+
+def score(
+    spark: SparkSession, sf_dir: str, params: op.ModelParams = TREES, features: list[str] = FEATURES
+) -> DataFrame:
     frame = _frame(spark, sf_dir)
-    scored = op.score(op.fit_forecaster(frame, FEW_TREES), frame)
-    return scored.select(SERIES, WEEK_START, TARGET, "prediction", "status")
+    scored = op.score(op.fit_forecaster(frame, params, features), frame)
+    return comparable(scored.select(SERIES, WEEK_START, TARGET, "prediction", "status"))
 
 
 def backtest(
-    spark: SparkSession, sf_dir: str, params: op.ModelParams = FEW_TREES
+    spark: SparkSession, sf_dir: str, params: op.ModelParams = TREES, features: list[str] = FEATURES
 ) -> DataFrame:
     frame = op.training_frame(inputs.weekly_panel(spark, sf_dir), layout="series")
-    return comparable(op.backtest(frame, params, layout="series").metrics)
+    return comparable(op.backtest(frame, params, layout="series", features=features).metrics)
 
 
 def interval(panel: DataFrame) -> DataFrame:
@@ -172,11 +200,23 @@ def interval(panel: DataFrame) -> DataFrame:
 
 
 def next_forecast(
-    spark: SparkSession, sf_dir: str, params: op.ModelParams = FEW_TREES
+    spark: SparkSession, sf_dir: str, params: op.ModelParams = TREES, features: list[str] = FEATURES
 ) -> DataFrame:
     panel = cut_lineage(inputs.weekly_panel(spark, sf_dir))
     frame = cut_lineage(op.training_frame(panel, layout="series"))
-    return comparable(op.next_forecast(op.fit_forecaster(frame, params), panel, frame))
+    return comparable(op.next_forecast(op.fit_forecaster(frame, params, features), panel, frame))
+
+
+def next_forecast_gappy(missing: str) -> Query:
+    """Forecasts of a panel with weeks that lack a value."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        panel = cut_lineage(inputs.gappy_panel(inputs.weekly_panel(spark, sf_dir)))
+        frame = cut_lineage(op.training_frame(panel, layout="series"))
+        model = op.fit_forecaster(frame, MEAN_MODEL)
+        return comparable(op.next_forecast(model, panel, frame, missing=missing))
+
+    return query
 
 
 # --- ledger and reconciliation -----------------------------------------------
@@ -235,19 +275,22 @@ def outputs(panel: DataFrame) -> DataFrame:
     return src.alert_outputs(_accuracy(panel))
 
 
-def _run(spark: SparkSession, sf_dir: str, params: op.ModelParams) -> dict[str, DataFrame]:
-    panel = cut_lineage(inputs.weekly_panel(spark, sf_dir))
+def _run(
+    spark: SparkSession, sf_dir: str, params: op.ModelParams, key: tuple[str, ...] = inputs.BY_SEGMENT
+) -> WeeklyRun:
+    panel = cut_lineage(inputs.weekly_panel(spark, sf_dir, key))
     path = run_dir(spark, "run")
-    newest = ranked_newest(inputs.ledger(panel), 1).drop("_rank")
-    newest.write.partitionBy(WEEK_START).parquet(f"{path}/ledger")
+    inputs.ledger(panel).write.partitionBy(WEEK_START).parquet(f"{path}/ledger")
     return weekly_run(
         panel, f"{path}/ledger", AS_OF, out_path=f"{path}/out", params=params, layout="series"
     )
 
 
-def weekly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weekly_report(
+    spark: SparkSession, sf_dir: str, key: tuple[str, ...] = inputs.BY_SEGMENT
+) -> DataFrame:
     """What the run did with every series, and the new forecast where it made one."""
-    run = _run(spark, sf_dir, FEW_TREES)
+    run = _run(spark, sf_dir, TREES, key)
     return comparable(run["gate"].join(run["forecasts"], SERIES, "left"))
 
 
@@ -255,7 +298,7 @@ def weekly_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same run with the mean model: gate, comparison and forecast."""
     run = _run(spark, sf_dir, MEAN_MODEL)
     ahead = run["forecasts"].select(
-        SERIES, F.col(WEEK_START).alias("next_week"), "predicted_ili", "ci_lower", "ci_upper"
+        SERIES, F.col(WEEK_START).alias("next_week"), "predicted_ili", "ci_lower", "ci_upper", "status"
     )
     prior = run["accuracy"].select(
         SERIES, F.col(WEEK_START).alias("prior_week"), "actual_ili", "deviation_pct"
@@ -292,14 +335,25 @@ QUERIES: dict[str, Query] = {
     "chronological_split": on_panel(split),
     "chronological_split_global": on_panel(lambda p: split(p, "global")),
     "chronological_split_blocks": split_blocks,
+    "chronological_split_frame": split_frame("series"),
+    "chronological_split_frame_blocks": split_frame("blocks"),
+    "chronological_split_frame_auto": split_frame("auto"),
     "regression_metrics": on_panel(metrics),
     "fit_forecaster": fit_forecaster,
+    "fit_forecaster_stumps": fit_forecaster_stumps,
     "score": score,
+    "score_stumps": lambda spark, sf_dir: score(spark, sf_dir, STUMPS, STUMP_FEATURES),
     "backtest": backtest,
+    "backtest_stumps": lambda spark, sf_dir: backtest(spark, sf_dir, STUMPS, STUMP_FEATURES),
     "backtest_mean_model": lambda spark, sf_dir: backtest(spark, sf_dir, MEAN_MODEL),
     "residual_interval": on_stored_panel(interval),
     "next_forecast": next_forecast,
+    "next_forecast_stumps": lambda spark, sf_dir: next_forecast(
+        spark, sf_dir, STUMPS, STUMP_FEATURES
+    ),
     "next_forecast_mean_model": lambda spark, sf_dir: next_forecast(spark, sf_dir, MEAN_MODEL),
+    "next_forecast_missing": next_forecast_gappy("parity"),
+    "next_forecast_missing_strict": next_forecast_gappy("strict"),
     "ledger_append": ledger_append,
     "ledger_append_json": lambda spark, sf_dir: ledger_append(spark, sf_dir, "json"),
     "ledger_latest_valid": on_panel(_latest),

@@ -31,7 +31,10 @@ def spark(tmp_path_factory):
 
 
 def sample_rows(series: str = "ca", n: int = 70) -> list[tuple]:
-    """Weekly rows from 2023-01-02 with a seeded random target."""
+    """Weekly rows from 2023-01-02 with a seeded random target.
+
+    Fixed values: the golden numbers of the tests belong to this recipe.
+    """
     draw = np.random.RandomState(42)
     target = draw.randint(800, 3000, size=70).astype(float)[:n]
     days = [date(2023, 1, 2) + timedelta(weeks=i) for i in range(n)]

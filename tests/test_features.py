@@ -195,6 +195,15 @@ def test_auto_layout_cuts_only_the_long_series(spark, monkeypatch, limit, listed
     assert cut == {(100, 10): ["long"], (100, 0): ["long", "short", "year"], (10_000, 10): []}[limit, listed]
 
 
+def test_split_of_equal_observations_does_not_depend_on_partitions(spark):
+    rows = [("a", date(2020, 1, 5) + timedelta(weeks=i // 4), 1, float(i % 2), 1.0, 5.0) for i in range(400)]
+    frame = training_frame(make_panel(spark, rows), layout="series").persist()
+    want = collected(chronological_split(frame, layout="series"))
+    for shaken in (frame.repartition(7), frame.repartition(3, "lag_2"), frame.orderBy(F.rand(3))):
+        for layout in ("series", "blocks", "auto"):
+            assert collected(chronological_split(shaken, layout=layout)) == want
+
+
 def test_unknown_layout(sample):
     with pytest.raises(ValueError):
         lag_features(sample, layout="other")

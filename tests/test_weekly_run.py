@@ -11,8 +11,8 @@ from weekcast import weekly_run
 from weekcast.operators import ModelParams
 from weekcast.plans import weekly
 from weekcast.schema import LEDGER
-from weekcast.sources import ledger_append, read_ledger
-from weekcast.sources.observations import current_fetch
+from weekcast.session import shared_dir
+from weekcast.sources import ledger_append, newest_fetch, observations, payload_errors, payload_rows, read_ledger
 from weekcast.streaming import land_payloads
 
 SMALL = ModelParams(trees=2)
@@ -116,7 +116,7 @@ def test_nothing_but_short_series(spark, tmp_path):
 
 
 def test_a_failed_run_leaves_the_ledger_and_can_be_repeated(spark, sample, tmp_path, monkeypatch):
-    def broken(results, out_path, per_series):
+    def broken(*_):
         raise OSError("disk full")
 
     monkeypatch.setattr(weekly, "_write", broken)
@@ -160,10 +160,70 @@ def test_landing_takes_each_file_once_and_the_newest_fetch_wins(spark, tmp_path)
         return spark.read.parquet(str(tmp_path / "table"))
 
     land("a.json", "2024-01-10T00:00:00Z", (202401, 5))
-    assert pick_up().count() == 1
-    assert pick_up().count() == 1
+    assert pick_up().count() == 2
+    assert pick_up().count() == 2
     land("b.json", "2024-01-17T00:00:00Z", (202401, 6), (202402, 7))
     table = pick_up()
-    assert table.count() == 3
-    assert [r.ilitotal for r in current_fetch(table).orderBy("week").collect()] == [6.0, 7.0]
-    assert table.where(F.col("series") == "tx").isEmpty()
+    assert table.count() == 4
+    newest = newest_fetch(table)
+    records = observations(payload_rows(newest)).orderBy("week").collect()
+    assert [(r.series, r.ilitotal) for r in records] == [("ca", 6.0), ("ca", 7.0)]
+    assert [tuple(r) for r in payload_errors(newest, key="series").collect()] == [("tx", "no")]
+
+
+@pytest.mark.parametrize("n", [53, 54])
+def test_hardly_any_history_is_still_forecast(spark, tmp_path, n):
+    rows = sample_rows("young", n)
+    got = run(make_panel(spark, rows), tmp_path, per_series_files=False)
+    row = by_series(got["forecasts"])["young"]
+    assert row.status == "ok" and row.predicted_ili == pytest.approx(sum(r[3] for r in rows[52:]) / (n - 52))
+    metrics = {r.split: r for r in got["metrics"].collect()}
+    if n == 53:
+        assert set(metrics) == {"validation"}
+        assert (metrics["validation"].n, metrics["validation"].rmse) == (0, None)
+    else:
+        assert (metrics["train"].n, metrics["validation"].n) == (1, 1)
+    assert spark.read.parquet(str(tmp_path / "out" / "metrics")).count() == len(metrics)
+
+
+def without_value(rows, back):
+    hole = len(rows) - back
+    return [(*r[:3], None, *r[4:]) if i == hole else r for i, r in enumerate(rows)]
+
+
+@pytest.mark.parametrize("missing", ["parity", "strict"])
+def test_alerts_go_out_even_if_nothing_can_be_forecast(spark, tmp_path, missing):
+    rows = without_value(sample_rows(), 2)
+    week, actual = rows[-5][1], rows[-5][3]
+    seed(spark, str(tmp_path / "ledger"), ("ca", week, actual * 3, 0.0, 1.0))
+    got = run(make_panel(spark, rows), tmp_path, missing=missing, per_series_files=False)
+    row = by_series(got["forecasts"])["ca"]
+    assert spark.read.parquet(str(tmp_path / "out" / "alerts")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "out" / "accuracy")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "out" / "gate")).count() == 1
+    made = (tmp_path / "out" / "prediction").exists()
+    if missing == "strict":
+        assert row.status == "insufficient_history" and row.predicted_ili is None and not made
+    else:
+        assert row.status == "missing_feature" and row.predicted_ili > 0 and made
+    assert read_ledger(spark, str(tmp_path / "ledger")).count() == 1 + made
+
+
+def test_a_series_of_the_ledger_alone_is_reported(spark, sample, tmp_path):
+    seed(spark, str(tmp_path / "ledger"), ("gone", LAST, 1.0, 0.0, 2.0))
+    got = run(sample, tmp_path)
+    assert {s: (r.action, r.reason) for s, r in by_series(got["gate"]).items()} == {
+        "ca": ("retrain", "cold_start"), "gone": ("skip", "no_data"),
+    }
+    assert set(by_series(spark.read.parquet(str(tmp_path / "out" / "standing")))) == {"gone"}
+
+
+def test_a_run_can_remove_its_intermediate_files(spark, sample, tmp_path):
+    from pathlib import Path
+
+    shared = Path(shared_dir(spark))
+    before = {p.name for p in shared.glob("weekly-*")}
+    with run(sample, tmp_path) as got:
+        assert {p.name for p in shared.glob("weekly-*")} > before
+        got["forecasts"].collect()
+    assert {p.name for p in shared.glob("weekly-*")} == before

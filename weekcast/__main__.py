@@ -12,28 +12,36 @@ import sys
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from .operators.model import ModelParams
 from .plans import weekly_run
-from .schema import ALERT_THRESHOLD
-from .session import cut_lineage
-from .sources.observations import current_fetch, observations, scope_filter
-from .sources.payloads import payload_rows
+from .schema import ALERT_THRESHOLD, OBSERVATION_COLUMNS, SERIES
+from .session import scratch
+from .sources.observations import observations, scope_filter
+from .sources.payloads import newest_fetch, payload_errors, payload_rows
 from .sources.regions import normalize_region
-from .streaming.landing import LANDED
+from .streaming.landing import landed
 
 log = logging.getLogger("weekcast")
+SHOWN_ERRORS = 100  # in the log; the error table has all
 
 
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="weekcast", description=__doc__)
-    parser.add_argument("--landing", required=True, help="folder of JSON lines {series, fetched_at, payload}")
+    parser.add_argument("--landing", required=True, help="folder of {series, fetched_at, payload}")
+    parser.add_argument("--landing-format", default="json", choices=["json", "parquet"],
+                        help="landed JSON lines, or the table the landing stream fills")
     parser.add_argument("--ledger", required=True, help="folder of the forecast ledger")
     parser.add_argument("--out", required=True, help="folder for this run's outputs")
     parser.add_argument("--region", action="append", required=True, help="name or code; repeatable")
     parser.add_argument("--as-of", default=None, help="UTC time of the run, ISO 8601; default now")
     parser.add_argument("--threshold", type=float, default=ALERT_THRESHOLD)
     parser.add_argument("--trees", type=int, default=ModelParams.trees)
+    parser.add_argument("--missing", default="parity", choices=["parity", "strict"],
+                        help="whether to forecast series whose newest rows lack a value")
+    parser.add_argument("--per-series-files", action="store_true",
+                        help="one folder of text per series, for some hundreds of them")
     return parser
 
 
@@ -44,17 +52,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     unknown = [region for region, code in codes.items() if code is None]
     if unknown:
         raise ValueError(f"unknown region: {', '.join(unknown)}")
-    landed = spark.read.schema(LANDED).json(args.landing)
-    records = current_fetch(observations(payload_rows(landed)))
-    panel = cut_lineage(scope_filter(records, codes.values(), as_of))
-    if panel.isEmpty():
-        raise ValueError("no data for the asked regions")
-    params = ModelParams(trees=args.trees)
-    done = weekly_run(
-        panel, args.ledger, as_of, args.threshold, args.out, params, per_series_files=True
-    )
-    for row in done["gate"].groupBy("action", "reason").count().collect():
-        log.info("%s (%s): %d series", row.action, row.reason, row["count"])
+    fetched = landed(spark, args.landing, args.landing_format)
+    fetched = newest_fetch(fetched.where(F.col(SERIES).isin(list(codes.values()))))
+    with scratch(spark, "fetch") as work:
+        newest = work.keep(fetched)
+        errors = work.keep(payload_errors(newest, key=SERIES))
+        for row in errors.limit(SHOWN_ERRORS).collect():
+            log.error("%s: %s", row.series, row.error)
+        records = observations(payload_rows(newest)).select(*OBSERVATION_COLUMNS)
+        panel = work.keep(scope_filter(records, codes.values(), as_of))
+        if panel.isEmpty():
+            errors.write.mode("overwrite").parquet(f"{args.out}/errors")
+            raise ValueError("no data for the asked regions")
+        with weekly_run(
+            panel, args.ledger, as_of, args.threshold, args.out, ModelParams(trees=args.trees),
+            per_series_files=args.per_series_files, missing=args.missing, errors=errors,
+        ) as done:
+            for row in done["gate"].groupBy("action", "reason").count().collect():
+                log.info("%s (%s): %d series", row.action, row.reason, row["count"])
 
 
 def main(argv: list[str] | None = None) -> int:

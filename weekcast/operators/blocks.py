@@ -17,6 +17,7 @@ The result is the same row for row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..schema import SERIES
 from ..session import cut_lineage
-from .order import oldest_first, order_columns
+from .order import oldest_first
 
 SERIES_ROWS_PER_TASK = 1_000_000
 BLOCK_ROWS = 50_000
@@ -72,14 +73,17 @@ def numbered_runs(df: DataFrame) -> DataFrame:
     """Equal rows collapsed to ``_copies``, with the zero-based position of the
     first copy in its series (``_first``) and the series length (``_total``).
 
-    Rows are range-partitioned by the full order and that layout is fixed as
-    files; positions are then counted within a range and shifted by the ranges
-    before it.  No task sees more than one range.
+    Rows are range-partitioned by the full order, a block's rows to a range, and
+    carry their range's number; positions are then counted within a range and
+    shifted by the ranges before it.  No task sees more than one range.
     """
-    runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    runs = cut_lineage(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")))
+    n = max(1, math.ceil(runs.count() / BLOCK_ROWS))
     ranges = cut_lineage(
-        runs.repartitionByRange(F.col(SERIES), *oldest_first(df))
-    ).withColumn("_range", F.spark_partition_id())
+        runs.repartitionByRange(n, F.col(SERIES), *oldest_first(df)).withColumn(
+            "_range", F.spark_partition_id()
+        )
+    )
     along = Window.partitionBy(SERIES).orderBy("_range")
     shifts = (
         ranges.groupBy(SERIES, "_range")
@@ -91,7 +95,7 @@ def numbered_runs(df: DataFrame) -> DataFrame:
             F.sum("_rows").over(Window.partitionBy(SERIES)).alias("_total"),
         )
     )
-    inside = Window.partitionBy(SERIES, "_range").orderBy(*_full_order(df))
+    inside = Window.partitionBy(SERIES, "_range").orderBy(*oldest_first(df))
     upto = F.sum("_copies").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return (
         ranges.withColumn("_upto", upto)
@@ -101,12 +105,6 @@ def numbered_runs(df: DataFrame) -> DataFrame:
     )
 
 
-def _full_order(df: DataFrame) -> list[Column]:
-    """The shared order, then every other column, so runs have one numbering."""
-    rest = [c for c in df.columns if c not in (SERIES, *order_columns(df))]
-    return [*oldest_first(df), *[F.col(c).asc_nulls_last() for c in rest]]
-
-
 def spread(runs: DataFrame, history: int = 0, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Runs -> rows with ``_block`` and ``_pos``.
 

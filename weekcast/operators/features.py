@@ -110,10 +110,13 @@ def training_frame(
 
 
 def forecast_point_features(
-    panel: DataFrame, mode: str = "parity", strict: bool = False
+    panel: DataFrame, mode: str = "parity", strict: bool = False, rows_name: str | None = None
 ) -> DataFrame:
     """One row per series: the features of the week after its newest row.
 
+    ``rows_name`` adds a column with the rows found, at most 53: with fewer, the
+    history is too short for all features.
+
     ``parity`` leaves the newest value out of the rolling windows and uses the
     population deviation, 0.0 when fewer than two values are left.
     ``consistent`` uses the windows of ``training_frame``.
@@ -142,10 +145,12 @@ def forecast_point_features(
     made["trend_4w"] = nth(1) - nth(TREND_SPAN)
     folded = newest.groupBy(SERIES).agg(
         F.max(WEEK_START).alias("_last_start"),
+        F.count(F.lit(1)).alias("_rows"),
         F.max(F.when(rank == 1, F.col(WEEK))).alias("_last_week"),
         *[c.alias(name) for name, c in made.items()],
     )
     upcoming = following_week(F.col("_last_week"), F.col("_last_start"), strict)
+    found = [F.col("_rows").alias(rows_name)] if rows_name else []
     return folded.withColumns(_season(upcoming)).select(
-        SERIES, F.date_add("_last_start", 7).alias(WEEK_START), *FEATURES
+        SERIES, F.date_add("_last_start", 7).alias(WEEK_START), *FEATURES, *found
     )

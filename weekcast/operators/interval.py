@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clamp_at_zero
-from ..schema import INTERVAL, RESIDUAL_ROWS, SERIES, TARGET, WEEK_START
+from ..schema import INTERVAL, RESIDUAL_ROWS, SERIES, TARGET, WEEK_START, YEAR_LAG
 from .features import forecast_point_features, training_frame
 from .model import score
 from .order import newest_rows
@@ -50,21 +50,29 @@ def next_forecast(
     layout: str = "auto",
     strict: bool = False,
     residuals: DataFrame | None = None,
+    missing: str = "parity",
 ) -> DataFrame:
     """One row per series for the week after its newest one.
 
     ``frame`` is the training frame when the caller has it already.  The
     interval comes from the model's own fit of its newest rows; pass scored
-    rows as ``residuals`` to take it from elsewhere.  A series
-    without complete features, or without a single training row to take
-    residuals from, gets the status ``insufficient_history`` and no numbers.
+    rows as ``residuals`` to take it from elsewhere.  A series of fewer than 53
+    rows, or without a single training row to take residuals from, gets the
+    status ``insufficient_history`` and no numbers.  A longer one whose newest
+    rows lack a value is forecast with status ``missing_feature`` (see
+    ``score``); ``missing="strict"`` gives it no numbers either.
     """
     if residuals is None:
         if frame is None:
             frame = training_frame(panel, layout, strict)
         residuals = score(model, newest_rows(frame, RESIDUAL_ROWS))
-    ahead = score(model, forecast_point_features(panel, mode, strict), clamp=True).select(
-        SERIES, WEEK_START, F.col("prediction").alias("predicted_ili")
+    points = forecast_point_features(panel, mode, strict, rows_name="_rows")
+    enough = F.col("_rows") > YEAR_LAG
+    ahead = score(model, points, clamp=True, missing=missing).select(
+        SERIES,
+        WEEK_START,
+        F.when(enough, F.col("prediction")).alias("predicted_ili"),
+        F.col("status").alias("_status"),
     )
     bounded = residual_interval(residuals, ahead)
     usable = F.col("ci_upper").isNotNull()
@@ -73,5 +81,5 @@ def next_forecast(
         WEEK_START,
         *[F.when(usable, F.col(c)).alias(c) for c in ("predicted_ili", "ci_lower", "ci_upper")],
         "interval_ok",
-        F.when(usable, "ok").otherwise("insufficient_history").alias("status"),
+        F.when(usable, F.col("_status")).otherwise("insufficient_history").alias("status"),
     )

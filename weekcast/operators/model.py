@@ -6,8 +6,10 @@ one series gives that series its own model.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from math import ceil
 from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
@@ -23,12 +25,16 @@ from ..session import cut_lineage, ensure_checkpoint_dir
 from .metrics import regression_metrics
 from .split import chronological_split
 
+FIT_ROWS_PER_TASK = 50_000
+
 
 @dataclass(frozen=True)
 class ModelParams:
     """The size of the model and its seed.
 
     Rows are not sampled per tree.  Trees grow level by level to ``depth``.
+    ``rate`` is the share of the mean residual that a tree adds; the first tree
+    is the model's start and counts in full.
     """
 
     trees: int = 200
@@ -38,14 +44,20 @@ class ModelParams:
     feature_share: float = 0.8
     bins: int = 255
     seed: int = 42
-    checkpoint_every: int = 10
+    checkpoint_every: int = 25
 
 
-def fit_forecaster(frame: DataFrame, params: ModelParams = ModelParams()) -> PipelineModel:
+def fit_forecaster(
+    frame: DataFrame,
+    params: ModelParams = ModelParams(),
+    features: Sequence[str] = FEATURES,
+) -> PipelineModel:
     """Fit on a complete training frame.
 
     Boosting adds to the lineage of the running residuals with every tree, so
-    it is checkpointed every few trees into the shared folder.
+    it is checkpointed every few trees into the shared folder.  A fit is a long
+    chain of short jobs, one per tree level: the frame is counted and dealt out
+    so that each task has enough rows to be worth its start.
     """
     ensure_checkpoint_dir(frame.sparkSession)
     trees = GBTRegressor(
@@ -54,40 +66,52 @@ def fit_forecaster(frame: DataFrame, params: ModelParams = ModelParams()) -> Pip
         predictionCol="prediction",
         maxIter=params.trees,
         maxDepth=params.depth,
-        stepSize=params.rate,
+        # The library fits trees to the loss's gradient, twice the residual.
+        stepSize=params.rate / 2,
         minInstancesPerNode=params.min_leaf_rows,
         featureSubsetStrategy=str(params.feature_share),
         subsamplingRate=1.0,
         maxBins=params.bins,
+        maxMemoryInMB=1024,
         seed=params.seed,
         checkpointInterval=params.checkpoint_every,
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), trees]).fit(
-        frame.select(*FEATURES, TARGET)
-    )
+    rows = frame.select(*features, TARGET)
+    tasks = max(1, ceil(rows.count() / FIT_ROWS_PER_TASK))
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    return Pipeline(stages=[assembler, trees]).fit(rows.coalesce(tasks))
 
 
-def score(model: PipelineModel, rows: DataFrame, clamp: bool = False) -> DataFrame:
+def score(
+    model: PipelineModel, rows: DataFrame, clamp: bool = False, missing: str = "strict"
+) -> DataFrame:
     """Add ``prediction`` and ``status`` in one pass.
 
     A row that lacks a feature gets no prediction and the status
-    ``insufficient_history``.  ``clamp`` is for forecasts, which count cases
-    and cannot be negative.
+    ``insufficient_history``; with ``missing="parity"`` the lacking feature
+    counts as 0.0, which is what a library makes of a value it never saw
+    missing in training, and the status is ``missing_feature``.  ``clamp`` is
+    for forecasts, which count cases and cannot be negative.
     """
-    complete = F.col("_given." + FEATURES[0]).isNotNull()
-    for name in FEATURES[1:]:
+    if missing not in ("strict", "parity"):
+        raise ValueError(f"missing must be 'strict' or 'parity', not {missing!r}")
+    features = model.stages[0].getInputCols()
+    complete = F.lit(True)
+    for name in features:
         complete = complete & F.col(f"_given.{name}").isNotNull()
-    filled = rows.withColumn("_given", F.struct(*FEATURES)).withColumns(
-        {name: F.coalesce(F.col(name), F.lit(0.0)) for name in FEATURES}
+    filled = rows.withColumn("_given", F.struct(*features)).withColumns(
+        {name: F.coalesce(F.col(name), F.lit(0.0)) for name in features}
     )
-    prediction = F.when(complete, F.col("prediction"))
+    usable = complete if missing == "strict" else F.lit(True)
+    lacking = "insufficient_history" if missing == "strict" else "missing_feature"
+    prediction = F.when(usable, F.col("prediction"))
     return (
         model.transform(filled)
-        .withColumns({name: F.col(f"_given.{name}") for name in FEATURES})
+        .withColumns({name: F.col(f"_given.{name}") for name in features})
         .withColumns(
             {
                 "prediction": clamp_at_zero(prediction) if clamp else prediction,
-                "status": F.when(complete, "ok").otherwise("insufficient_history"),
+                "status": F.when(complete, "ok").otherwise(lacking),
             }
         )
         .drop("_given", "features")
@@ -108,6 +132,7 @@ def backtest(
     by: tuple[str, ...] = ("split",),
     scope: str = "series",
     layout: str = "auto",
+    features: Sequence[str] = FEATURES,
 ) -> Backtest:
     """Fit on the earlier part, measure both parts, then refit on everything.
 
@@ -115,17 +140,29 @@ def backtest(
     once instead of being derived again each time.  A frame that has ``split``
     already is taken to be fixed and is used as it is.
 
-    A fit is a long chain of short jobs, one per tree level, and the two fits
-    do not depend on each other: they are submitted side by side.
+    The two fits do not depend on each other and are submitted side by side.
+    Series so short that none has an earlier part leave nothing for a trial:
+    the metrics are then NULL over 0 rows, and the final fit is still made.
     """
     parts = frame
     if "split" not in frame.columns:
         parts = cut_lineage(chronological_split(frame, scope=scope, layout=layout))
-    ensure_checkpoint_dir(frame.sparkSession)
-    fit = inheritable_thread_target(frame.sparkSession)(lambda rows: fit_forecaster(rows, params))
-    with ThreadPoolExecutor(2) as pool:
-        trial, final = pool.map(fit, [parts.where(F.col("split") == "train"), parts])
-    tried = score(trial, parts)
-    metrics = regression_metrics(tried, TARGET, "prediction", by)
+    early = parts.where(F.col("split") == "train")
+    fit = inheritable_thread_target(frame.sparkSession)(
+        lambda rows: fit_forecaster(rows, params, features)
+    )
+    if early.isEmpty():
+        final = fit(parts)
+        none = F.lit(None).cast("double")
+        tried = parts.withColumns({"prediction": none, "status": F.lit("untrained")})
+        metrics = parts.groupBy(*by).agg(
+            F.max(none).alias("rmse"), F.max(none).alias("r2"), F.lit(0).cast("long").alias("n")
+        )
+    else:
+        ensure_checkpoint_dir(frame.sparkSession)
+        with ThreadPoolExecutor(2) as pool:
+            trial, final = pool.map(fit, [early, parts])
+        tried = score(trial, parts)
+        metrics = regression_metrics(tried, TARGET, "prediction", by)
     unseen = tried.where(F.col("split") == "validation")
-    return Backtest(final, list(FEATURES), metrics, parts, unseen)
+    return Backtest(final, list(features), metrics, parts, unseen)

@@ -1,7 +1,8 @@
 """The one row order all positional operators share.
 
-Weeks first, then the week label, then the measures.  Only rows that are equal
-in every one of these columns are left tied, and those are interchangeable.
+Weeks first, then the week label, then the measures, then whatever other
+columns a frame has.  Only rows that are equal in every column are left tied,
+and those are interchangeable.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from ..schema import OBSERVATION_COLUMNS, SERIES
 
 
 def order_columns(df: DataFrame) -> list[str]:
-    return [c for c in OBSERVATION_COLUMNS if c != SERIES and c in df.columns]
+    observed = [c for c in OBSERVATION_COLUMNS if c in df.columns]
+    return [c for c in dict.fromkeys([*observed, *df.columns]) if c != SERIES]
 
 
 def oldest_first(df: DataFrame) -> list[Column]:

@@ -124,15 +124,17 @@ def refresh_gate(
 
     ``latest`` is the newest valid ledger row per series.  A series without one
     starts cold; one whose forecast week has arrived is retrained; all others
-    wait.  ``strict`` also retrains stale series, which would wait for ever.
+    wait.  ``strict`` also retrains stale series, which would wait for ever.  A
+    series of the ledger that the panel lacks is reported as ``no_data``.
     ``looked_up`` is the lookup of ``latest`` when the caller has it already.
     """
     if looked_up is None:
         looked_up = forecast_actual_lookup(latest, panel, strict)
-    known = panel.select(SERIES).distinct()
+    known = panel.select(SERIES).distinct().withColumn("_here", F.lit(True))
     found = looked_up.select(SERIES, F.col("status").alias("_status"))
-    reason = F.coalesce(F.col("_status"), F.lit("cold_start"))
+    arrived = F.coalesce(F.col("_status"), F.lit("cold_start"))
+    reason = F.when(F.col("_here"), arrived).otherwise("no_data")
     act = F.when(reason.isin("cold_start", "matched", "stale"), RETRAIN).otherwise(SKIP)
-    return known.join(found, SERIES, "left").select(
+    return known.join(found, SERIES, "full").select(
         SERIES, act.alias("action"), reason.alias("reason")
     )

@@ -49,9 +49,10 @@ def _label(train: Column) -> Column:
 
 
 def _split_by_week(df: DataFrame, share: float) -> DataFrame:
-    """The cut is one date, found by one aggregate over the distinct weeks."""
+    """The cut is one date, a scalar subquery over the distinct weeks, which the
+    calendar bounds."""
     weeks = df.select(WEEK_START).distinct()
     ordered = weeks.agg(F.sort_array(F.collect_list(WEEK_START)).alias("weeks"))
     kept = F.floor(F.size("weeks") * F.lit(float(share))).cast("int")
-    cut = ordered.select(F.try_element_at("weeks", kept + 1)).first()[0]
-    return df.withColumn("split", _label(F.col(WEEK_START) < F.lit(cut)))
+    cut = ordered.select(F.try_element_at("weeks", kept + 1)).scalar()
+    return df.withColumn("split", _label(F.col(WEEK_START) < cut))

@@ -1,5 +1,5 @@
-"""Compositions of operators that run as a whole."""
+"""Whole runs."""
 
-from .weekly import weekly_run
+from .weekly import WeeklyRun, weekly_run
 
-__all__ = ["weekly_run"]
+__all__ = ["WeeklyRun", "weekly_run"]

@@ -22,7 +22,7 @@ from ..operators.reconcile import (
 )
 from ..operators.split import chronological_split
 from ..schema import ALERT_THRESHOLD, FORECAST, OBSERVATION_COLUMNS, SERIES, WEEK_START
-from ..session import cut_lineage
+from ..session import Scratch
 from ..sources.ledger import ledger_append, ledger_latest_valid, read_ledger
 from ..sources.observations import coverage_stats
 from ..sources.sinks import (
@@ -42,6 +42,28 @@ _FORECASTS = T.StructType(
 )
 
 
+class WeeklyRun(dict):
+    """Results of a run by name, as lazy tables over its intermediate files.
+
+    ``remove()`` deletes those files; as a context manager it does so when the
+    block succeeds.  What the run wrote to ``out_path`` and the ledger stays.
+    """
+
+    def __init__(self, work: Scratch):
+        super().__init__()
+        self._work = work
+
+    def remove(self) -> None:
+        self._work.remove()
+
+    def __enter__(self) -> WeeklyRun:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if kind is None:
+            self.remove()
+
+
 def weekly_run(
     panel: DataFrame,
     ledger_path: str,
@@ -56,7 +78,9 @@ def weekly_run(
     title: str = "Weekly Forecast Summary",
     interval_from: str = "training",
     per_series_files: bool = False,
-) -> dict[str, DataFrame]:
+    missing: str = "parity",
+    errors: DataFrame | None = None,
+) -> WeeklyRun:
     """Run every series of ``panel``, a table at rest, through its own path.
 
     cold start   no valid ledger row: train and forecast, nothing to compare
@@ -65,7 +89,10 @@ def weekly_run(
 
     The ledger is read and fixed before anything else and appended to last, so
     a run that fails half-way is simply run again, and a second run on the same
-    data finds every series waiting.
+    data finds every series waiting.  Alerts, accuracy and scheduler keys are
+    written whenever a forecast was compared, the other outputs and the ledger
+    when one was made; a run that did neither writes nothing but ``errors``,
+    refused fetches that the caller found.
 
     ``interval_from="validation"`` takes the interval from errors on weeks the
     model had not seen instead of from its own fit.  ``per_series_files`` writes
@@ -76,26 +103,28 @@ def weekly_run(
         raise ValueError(f"interval_from must be 'training' or 'validation', not {interval_from!r}")
     spark = panel.sparkSession
     panel = panel.select(*OBSERVATION_COLUMNS)
-    latest = cut_lineage(ledger_latest_valid(read_ledger(spark, ledger_path, ledger_format)))
-    looked_up = cut_lineage(forecast_actual_lookup(latest, panel, strict))
+    work = Scratch(spark, "weekly")
+    latest = work.keep(ledger_latest_valid(read_ledger(spark, ledger_path, ledger_format)))
+    looked_up = work.keep(forecast_actual_lookup(latest, panel, strict))
     accuracy = forecast_accuracy(looked_up)
-    gate = cut_lineage(refresh_gate(panel, latest, strict, looked_up))
+    gate = work.keep(refresh_gate(panel, latest, strict, looked_up))
 
     retrain = gate.where(F.col("action") == RETRAIN).select(SERIES)
     due = panel.join(retrain, SERIES, "left_semi")
-    results = {
-        "coverage": coverage_stats(panel),
-        "gate": gate,
-        "accuracy": accuracy,
-        "standing": latest.join(gate.where(F.col("action") == SKIP), SERIES, "left_semi"),
-        "forecasts": spark.createDataFrame([], _FORECASTS),
-    }
+    results = WeeklyRun(work)
+    results["coverage"] = coverage_stats(panel)
+    results["gate"] = gate
+    results["accuracy"] = accuracy
+    results["standing"] = latest.join(gate.where(F.col("action") == SKIP), SERIES, "left_semi")
+    results["forecasts"] = spark.createDataFrame([], _FORECASTS)
+    if errors is not None:
+        results["errors"] = errors
     if not retrain.isEmpty():
         layout = settled(due, layout)
         frame = training_frame(due, layout, strict)
         if layout == "auto":
-            frame = cut_lineage(frame)  # the split measures it
-        parts = cut_lineage(chronological_split(frame, layout=layout))
+            frame = work.keep(frame)  # the split measures it
+        parts = work.keep(chronological_split(frame, layout=layout))
         if parts.isEmpty():
             # Nothing to learn from: every due series is too short.
             ahead = due.groupBy(SERIES).agg(
@@ -107,8 +136,8 @@ def weekly_run(
             trained = backtest(parts, params)
             results["metrics"] = trained.metrics
             unseen = trained.unseen if interval_from == "validation" else None
-            results["forecasts"] = cut_lineage(
-                next_forecast(trained.model, due, parts, mode, layout, strict, unseen)
+            results["forecasts"] = work.keep(
+                next_forecast(trained.model, due, parts, mode, layout, strict, unseen, missing)
             )
     forecasts = results["forecasts"]
     results["alerts"] = deviation_alerts(accuracy, forecasts, threshold)
@@ -116,22 +145,39 @@ def weekly_run(
     results["chart"] = chart_frame(due, forecasts, accuracy)
     results["outputs"] = alert_outputs(accuracy, threshold)
 
-    if not forecasts.where(F.col("predicted_ili").isNotNull()).isEmpty():
-        if out_path is not None:
-            _write(results, out_path, per_series_files)
+    compared = not accuracy.isEmpty()
+    forecast = not forecasts.where(F.col("predicted_ili").isNotNull()).isEmpty()
+    if out_path is not None:
+        _write(results, out_path, per_series_files, compared, forecast)
+    if forecast:
         ledger_append(forecasts, ledger_path, as_of, ledger_format)
     return results
 
 
-def _write(results: dict[str, DataFrame], out_path: str, per_series: bool) -> None:
-    made = results["forecasts"].where(F.col("predicted_ili").isNotNull())
-    forecast_csv(made, f"{out_path}/prediction")
-    write_lines(results["summary"], f"{out_path}/summary", F.col("line"), ["line_no"], per_series)
-    tables = ["chart", "alerts", "accuracy"]
-    if per_series:
-        key_value = F.concat_ws("=", "key", "value")
-        write_lines(results["outputs"], f"{out_path}/outputs", key_value, [WEEK_START, "key"], True)
-    else:
-        tables.append("outputs")
-    for name in tables:
+def _write(
+    results: WeeklyRun, out_path: str, per_series: bool, compared: bool, forecast: bool
+) -> None:
+    def table(name: str) -> None:
         results[name].write.mode("overwrite").parquet(f"{out_path}/{name}")
+
+    if "errors" in results:
+        table("errors")
+    if compared:  # first: a notice must go out even if nothing can be forecast
+        table("alerts")
+        table("accuracy")
+        if per_series:
+            pairs = F.concat_ws("=", "key", "value")
+            write_lines(results["outputs"], f"{out_path}/outputs", pairs, [WEEK_START, "key"], True)
+        else:
+            table("outputs")
+    if forecast:
+        made = results["forecasts"].where(F.col("predicted_ili").isNotNull())
+        forecast_csv(made, f"{out_path}/prediction")
+        write_lines(
+            results["summary"], f"{out_path}/summary", F.col("line"), ["line_no"], per_series
+        )
+        table("chart")
+    if compared or forecast:
+        for name in ("gate", "standing", "coverage", "metrics"):
+            if name in results:
+                table(name)

@@ -2,7 +2,7 @@
 
 from .ledger import ledger_append, ledger_latest_valid, ledger_quarantine, read_ledger
 from .observations import coverage_stats, observations, scope_filter
-from .payloads import payload_errors, payload_rows
+from .payloads import newest_fetch, payload_errors, payload_rows
 from .regions import normalize_region, region_mapping
 from .sinks import alert_outputs, chart_frame, forecast_csv, summary_lines, write_lines
 
@@ -14,6 +14,7 @@ __all__ = [
     "ledger_append",
     "ledger_latest_valid",
     "ledger_quarantine",
+    "newest_fetch",
     "normalize_region",
     "observations",
     "payload_errors",

@@ -9,17 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import epiweek_to_date, finite_double
-from ..schema import HISTORY_YEARS, OBSERVATION_COLUMNS, SERIES, TARGET, WEEK, WEEK_START
+from ..schema import HISTORY_YEARS, SERIES, TARGET, WEEK, WEEK_START
 
 
 def observations(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Rename and type the payload records.
 
-    The week must be an integer and the date, when given, a date: ``strict``
-    fails the job otherwise, else the cell becomes NULL.  The three measures
+    The week must be a whole number (``202401.0`` is one) and the date, when
+    given, a date: ``strict`` fails the job otherwise, else the cell becomes NULL.  The three measures
     are always lenient.  A record without a date gets it from its epiweek.
     """
-    week = F.col("epiweek").try_cast("decimal(12,2)").try_cast("int")
+    number = F.col("epiweek").try_cast("decimal(18,6)")
+    week = F.when(number == F.floor(number), number).try_cast("int")
     given = F.col("week_start").try_cast("date")
     if strict:
         week = F.when(week.isNotNull(), week).otherwise(
@@ -73,13 +74,3 @@ def coverage_stats(df: DataFrame) -> DataFrame:
         (F.sum("rows") - F.count(F.lit(1))).alias("repeated_rows"),
         (span > F.count(WEEK_START)).alias("is_gap"),
     )
-
-
-def current_fetch(landed: DataFrame) -> DataFrame:
-    """Rows of the newest fetch of every series in an append-only landing table.
-
-    A fetch always carries the whole history, so the newest one replaces all
-    earlier ones, revisions included.
-    """
-    newest = landed.groupBy(SERIES).agg(F.max("fetched_at").alias("fetched_at"))
-    return landed.join(newest, [SERIES, "fetched_at"]).select(*OBSERVATION_COLUMNS)

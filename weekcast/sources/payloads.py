@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import PAYLOAD
+from ..schema import PAYLOAD, SERIES
 
 NO_DATA = "No data returned"
 UNKNOWN = "unknown error"
@@ -58,3 +58,15 @@ def payload_errors(
     """The unusable envelopes with the reason, for a quarantine table."""
     problems = F.filter(_from_envelope(col, _problem), lambda problem: problem.isNotNull())
     return payloads.select(F.col(key), F.explode(problems).alias("error"))
+
+
+def newest_fetch(landed: DataFrame, col: str = "payload") -> DataFrame:
+    """The newest envelope of every series in an append-only landing table.
+
+    A fetch always carries the whole history, so the newest one replaces all
+    earlier ones, revisions included; older envelopes are never parsed.  If the
+    newest one is an error the series has no data, and ``payload_errors`` says
+    why.  The maximum is taken in every task before the shuffle.
+    """
+    newest = F.max(F.struct("fetched_at", col)).alias("newest")
+    return landed.groupBy(SERIES).agg(newest).select(SERIES, "newest.fetched_at", f"newest.{col}")

@@ -36,14 +36,17 @@ def summary_lines(
     """The text summary of every forecast, one row per line.
 
     The comparison block appears for series that have a matched row in
-    ``accuracy``, which holds one row per series.
+    ``accuracy``; it shows the one of the newest week.  Labels and number
+    formats are fixed values.
     """
     ahead = forecasts.where(F.col("predicted_ili").isNotNull()).select(*FORECAST_COLUMNS)
     comparison = []
     if accuracy is not None:
         compared = ["week_start", "predicted_ili", "actual_ili", "deviation_pct"]
-        matched = accuracy.where(F.col("status") == "matched").select(
-            SERIES, F.struct(*compared).alias("prior")
+        matched = (
+            accuracy.where(F.col("status") == "matched")
+            .groupBy(SERIES)
+            .agg(F.max(F.struct(*compared)).alias("prior"))
         )
         ahead = ahead.join(matched, SERIES, "left")
         # Concatenation with a missing prior is NULL, which drops the line.
@@ -124,28 +127,32 @@ def chart_frame(
 
 
 def alert_outputs(accuracy: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
-    """Key/value rows for the scheduler.
+    """Key/value rows for the scheduler; the key names are fixed values.
 
     Every comparison reports whether it alerts and the deviation; alerting
-    ones add week, prediction and actual.  No defined comparison, no rows.
+    ones add week, prediction and actual.  A comparison with an actual of zero
+    has no deviation: it reports ``undefined`` and the same three.
     """
-    defined = accuracy.where((F.col("status") == "matched") & F.col("deviation_pct").isNotNull())
-    alert = F.col("deviation_pct") > F.lit(threshold * 100)
+    compared = accuracy.where(F.col("status") == "matched")
+    deviation = F.col("deviation_pct")
+    undefined = deviation.isNull()
+    alert = deviation > F.lit(threshold * 100)
+    answer = F.when(undefined, "undefined").when(alert, "true").otherwise("false")
 
-    def pair(key: str, value: Column, always: bool = False) -> Column:
-        entry = F.struct(F.lit(key).alias("key"), value.alias("value"))
-        return entry if always else F.when(alert, entry)
+    def pair(key: str, value: Column, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(key).alias("key"), value.alias("value")))
 
+    told = undefined | alert
     pairs = _present(
         [
-            pair("comparison_alert", F.when(alert, "true").otherwise("false"), always=True),
-            pair("comparison_week", _day(WEEK_START)),
-            pair("comparison_predicted", fixed0(F.col("predicted_ili"))),
-            pair("comparison_actual", fixed0(F.col("actual_ili"))),
-            pair("comparison_deviation_pct", fixed1(F.col("deviation_pct")), always=True),
+            pair("comparison_alert", answer, F.lit(True)),
+            pair("comparison_week", _day(WEEK_START), told),
+            pair("comparison_predicted", fixed0(F.col("predicted_ili")), told),
+            pair("comparison_actual", fixed0(F.col("actual_ili")), told),
+            pair("comparison_deviation_pct", fixed1(deviation), ~undefined),
         ]
     )
-    return defined.select(SERIES, WEEK_START, F.inline(pairs))
+    return compared.select(SERIES, WEEK_START, F.inline(pairs))
 
 
 def write_lines(

@@ -1,9 +1,9 @@
 """Scheduled fetch as a file stream: each run takes what has landed since.
 
 A landed file holds one JSON line per fetch: ``{series, fetched_at, payload}``
-with the payload envelope as text.  The parsing is the batch one.  Nothing is
-kept as state: the landing table is append-only and
-``sources.observations.current_fetch`` reads the newest fetch of each series.
+with the payload envelope as text.  Envelopes are appended to the landing table
+as they are, refused ones included; ``sources.payloads.newest_fetch`` picks the
+newest of each series and only those are parsed.  Nothing is kept as state.
 """
 
 from __future__ import annotations
@@ -11,9 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.observations import observations
-from ..sources.payloads import payload_rows
-
 LANDED = "series string, fetched_at timestamp, payload string"
 
 
@@ -26,17 +23,22 @@ def payload_stream(spark: SparkSession, landing: str, files_per_batch: int = 100
 def land_payloads(
     spark: SparkSession, landing: str, table: str, checkpoint: str
 ) -> StreamingQuery:
-    """Append the records of all new payloads to ``table`` and stop.
+    """Append all new envelopes to ``table`` and stop.
 
     The file sink commits each batch once, so a lost executor or a restarted
-    run neither drops nor repeats records.
+    run neither drops nor repeats envelopes.
     """
-    rows = observations(payload_rows(payload_stream(spark, landing)), strict=False)
     return (
-        rows.writeStream.format("parquet")
+        payload_stream(spark, landing)
+        .writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def landed(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """Envelopes from landed files, or from the table that ``land_payloads`` fills."""
+    return spark.read.schema(LANDED).format(fmt).load(path)
