@@ -82,9 +82,10 @@ def judge(docs: DataFrame, index: DigestIndex, batch: str) -> DataFrame:
     ``doc_id`` one is kept.  A text known from an earlier batch keeps nothing.
     Other columns of ``docs`` are neither read nor returned.
     """
-    rows = docs.groupBy(F.col(DOC_ID), digest().alias("digest")).agg(
-        F.count(F.lit(1)).alias("copies")
-    )
+    # Dealt by id first: the join below then deals by digest in an exchange of
+    # its own, whose partition of a hot text adaptive execution can split.
+    ids = docs.select(DOC_ID, digest().alias("digest")).repartition(DOC_ID)
+    rows = ids.groupBy(DOC_ID, "digest").agg(F.count(F.lit(1)).alias("copies"))
     stays = F.col(DOC_ID).eqNullSafe(F.col("keep_id")) & (F.col("batch") == batch)
     return (
         rows.join(index.groups(), "digest")
