@@ -31,14 +31,17 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from .common import DOC_ID, TEXT, map_batches, slices, whole_texts
-from .shingles import span_hashes
+from .shingles import mixed, span_hashes
 
 MIN_BYTES = 200
 GRAM = 80
 GROUP_CONTEXTS = 50_000
 
 KEY = "text_key"  # tells texts apart that share an id
-_ANCHORS = f"doc_id long, {KEY} long, anchor long, context long, at int, n_bytes int"
+_ANCHORS = (
+    f"doc_id long, {KEY} long, anchor long, context long, at int, n_bytes int, "
+    "repeats boolean, stop int"
+)
 _CONTEXTS = f"anchor long, doc_id long, {KEY} long, at int, n_bytes int, known boolean, before binary, after binary"
 _SPANS = f"doc_id long, {KEY} long, start int, stop int"
 
@@ -75,7 +78,25 @@ def _reach(at: np.ndarray, size: int, least: int, gram: int) -> tuple[np.ndarray
 
 
 def _anchor_rows(docs: DataFrame, least: int, gram: int) -> DataFrame:
-    """One row per anchor; a text that a task has seen already gives none."""
+    """One row per anchor; a text that a task has seen already gives none.
+
+    Of anchors that a batch holds with equal contexts, as periodic texts do in
+    great numbers, one row is given, which ``repeats``.  The stretches of the
+    others are given as they are, from ``at`` to ``stop``, under a number of
+    their own as anchor.
+    """
+    names = [c.split()[0] for c in _ANCHORS.split(", ")]
+
+    def described(doc_id: int | None, data: bytes, key: int, at: np.ndarray) -> tuple:
+        begin, end = _reach(at, len(data), least, gram)
+        n = len(at)
+        # Where the anchor lies in its context is part of the context.
+        context = span_hashes(data, begin, end) + (at - begin).astype(np.uint64)
+        anchor = span_hashes(data, at, at + gram)
+        return (
+            np.full(n, doc_id if doc_id is not None else 0), np.full(n, doc_id is None),
+            np.full(n, key), anchor.view(np.int64), context.view(np.int64), at, np.full(n, len(data)),
+        )
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -86,28 +107,53 @@ def _anchor_rows(docs: DataFrame, least: int, gram: int) -> DataFrame:
                     data = text.encode()
                     mark = hashlib.blake2b(data, digest_size=16).digest()
                     at = np.zeros(0, np.int64) if mark in seen else anchors(data, least, gram)
-                    if not len(at):
-                        continue
-                    seen.add(mark)
-                    begin, end = _reach(at, len(data), least, gram)
-                    n = len(at)
-                    made.append(
-                        (np.full(n, doc_id if doc_id is not None else 0), np.full(n, doc_id is None),
-                         np.full(n, key), span_hashes(data, at, at + gram).view(np.int64),
-                         # where the anchor lies in its context is part of the context
-                         (span_hashes(data, begin, end) + (at - begin).astype(np.uint64)).view(np.int64),
-                         at.astype(np.int32), np.full(n, len(data), np.int32))
-                    )
+                    if len(at):
+                        seen.add(mark)
+                        made.append(described(doc_id, data, key, at))
                 if made:
-                    ids, missing, *rest = (np.concatenate(c) for c in zip(*made))
-                    columns = [pa.array(ids, pa.int64(), mask=missing), *map(pa.array, rest)]
-                    names = [c.split()[0] for c in _ANCHORS.split(", ")]
+                    columns = _combined([np.concatenate(c) for c in zip(*made)], least, gram)
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     keyed = whole_texts(docs, F.xxhash64(F.coalesce(F.col(TEXT), F.lit(""))).alias(KEY))
     return map_batches(keyed, step, _ANCHORS)
 
 
+def _combined(rows: list[np.ndarray], least: int, gram: int) -> list[pa.Array]:
+    """Rows of equal anchor and context as one, and the others' stretches."""
+    ids, missing, keys, anchor, context, at, size = rows
+    order = np.lexsort((context, anchor))
+    new = np.ones(len(order), bool)
+    new[1:] = (anchor[order][1:] != anchor[order][:-1]) | (context[order][1:] != context[order][:-1])
+    one = order[new]
+    repeats = np.diff(np.append(np.flatnonzero(new), len(order))) > 1
+    rest = np.sort(order[~new])  # by document and place
+    begin, end = _reach(at[rest], size[rest], least, gram)
+    # Neighbours of one document that touch are one stretch.
+    apart = np.ones(len(rest), bool)
+    apart[1:] = (ids[rest][1:] != ids[rest][:-1]) | (keys[rest][1:] != keys[rest][:-1])
+    apart[1:] |= missing[rest][1:] != missing[rest][:-1]
+    apart[1:] |= begin[1:] > end[:-1]
+    start = np.flatnonzero(apart)
+    last = np.append(start[1:], len(rest))[: len(start)] - 1
+    some = rest[start]
+    own = mixed((ids[some] * 31 + begin[start]).astype(np.uint64) ^ keys[some].view(np.uint64))
+    both = lambda a, b: np.concatenate([a, b])
+    no_stop = np.full(len(one), True)
+    return [
+        pa.array(both(ids[one], ids[some]), pa.int64(), mask=both(missing[one], missing[some])),
+        pa.array(both(keys[one], keys[some])),
+        pa.array(both(anchor[one], own.view(np.int64))),
+        pa.array(both(context[one], own.view(np.int64))),
+        pa.array(both(at[one], begin[start]).astype(np.int32)),
+        pa.array(both(size[one], size[some]).astype(np.int32)),
+        pa.array(both(repeats, np.full(len(some), True))),
+        pa.array(
+            both(np.zeros(len(one)), end[last]).astype(np.int32),
+            mask=both(no_stop, np.full(len(some), False)),
+        ),
+    ]
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """``doc_id``, key and the compressed text, for joins that move texts."""
 
@@ -360,17 +406,19 @@ def repeated_spans(
     marked = _anchor_rows(docs, least, gram).withColumns(
         {
             "first": first,
-            "known": ~first | F.coalesce(after == F.col("context"), F.lit(False)),
+            "known": F.col("repeats") | ~first | F.coalesce(after == F.col("context"), F.lit(False)),
             "varied": F.first("context").over(whole) != F.last("context").over(whole),
         }
     )
     found = work.keep(marked.where("known OR varied").drop("context"))
     left = F.greatest(F.col("at") - (least - gram), F.lit(0)).cast("int")
+    right = F.least(F.col("at") + least, F.col("n_bytes")).cast("int")
+    ready = F.col("stop").isNotNull()
     equal = found.where("known").select(
-        DOC_ID, KEY, left.alias("start"),
-        F.least(F.col("at") + least, F.col("n_bytes")).cast("int").alias("stop"),
+        DOC_ID, KEY, F.when(ready, F.col("at")).otherwise(left).alias("start"),
+        F.coalesce("stop", right).alias("stop"),
     )
-    wanted = found.where("varied AND first").select("anchor", DOC_ID, KEY, "at", "known")
+    wanted = found.where("varied AND first AND stop IS NULL").select("anchor", DOC_ID, KEY, "at", "known")
     contexts = work.keep(_contexts(docs, wanted, least, gram))
     large = work.keep(
         contexts.groupBy("anchor").count().where(F.col("count") > group_contexts).select("anchor")
