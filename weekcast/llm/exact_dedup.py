@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import run_dir
+from ..session import cut_lineage, run_dir
 from .common import DOC_ID, TEXT
 
 _COLUMNS = "digest binary, keep_id long, group_size long, batch string"
@@ -49,8 +49,13 @@ class DigestIndex:
         kept; a text of an earlier batch keeps the row it has.
         """
         batch = uuid.uuid4().hex
-        groups = docs.groupBy(digest().alias("digest")).agg(
-            F.max(DOC_ID).alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+        # Written, because Spark would move the anti-join below the aggregate
+        # and then bring all copies of a hot text together for it.
+        groups = cut_lineage(
+            docs.groupBy(digest().alias("digest")).agg(
+                F.max(DOC_ID).alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+            ),
+            "digest-groups",
         )
         known = self.spark.table(self.table).select("digest").hint("merge")
         fresh = groups.join(known, "digest", "left_anti").withColumn("batch", F.lit(batch))
