@@ -159,11 +159,13 @@ def near_links(docs: DataFrame, described: DataFrame, work: Scratch, words: int
     wanted = members.select("row").distinct().join(firsts, "row")
     sets = work.keep(_sets(docs, wanted, words))
     placed = members.join(sets.select("row", "n_shingles"), "row")
+    # Written, so that the join with it is dealt out anew and a hot pivot is split.
     parts = placed.groupBy("pivot").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
         ).cast("int").alias("parts")
     )
+    parts = work.keep(parts)
     block = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
     blocks = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
         F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: k != F.col("block"))
