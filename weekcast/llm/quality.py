@@ -51,9 +51,10 @@ BOILERPLATE = (
     "use cookies",
 )
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
-_SENTENCE_END = re.compile(r"[.!?…。！？؟।](?=[\"'”’»)\]]*(?:[\s]|$))")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SENTENCE_END = re.compile(r"[.!?…。！？؟।][\"'”’»)\]]*(?:[\x20\x09-\x0D]|$)")
 _DECORATED = re.compile(r"(?:[#*$%&<>|~^=_]{2,}|!{2,}|\?{2,})[.,;:]?$")
-_BAR = re.compile(r"(?:^|\s)(?:[|»«›‹·•>/\\]|::|->)(?=\s|$)")
+_BARS = {"|", "»", "«", "›", "‹", "·", "•", ">", "/", "\\", "::", "->"}
 
 RESULT = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -63,13 +64,13 @@ RESULT = (
 
 def failed_rule(line: str) -> str | None:
     """The rule a line breaks, or None; a line without words breaks none."""
-    words = line.split()
+    words = _WORD.findall(line)
     if not words:
         return None
     lowered = line.lower()
     if any(phrase in lowered for phrase in BOILERPLATE):
         return "boilerplate"
-    bars = len(_BAR.findall(line))
+    bars = sum(1 for word in words if word in _BARS)
     if bars >= MIN_MENU_BARS and len(words) - bars <= MAX_WORDS_PER_BAR * (bars + 1):
         return "navigation"
     decorated = sum(1 for word in words if _DECORATED.search(word))

@@ -11,6 +11,7 @@ from ..session import run_dir
 from . import (
     exact_dedup,
     minhash,
+    oracles,
     packing,
     quality,
     secrets,
@@ -143,13 +144,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op4_exact_dedup": """
-        SELECT doc_id,
-               max(doc_id) OVER same AS keep_id,
-               count(*) OVER same AS group_size,
-               doc_id = max(doc_id) OVER same AS kept,
-               sha256(coalesce(text, '')) AS text_sha256
-        FROM documents
-        WINDOW same AS (PARTITION BY coalesce(text, ''))
-    """,
+    "op4_exact_dedup": oracles.EXACT,
+    "op5_suffix_dedup": oracles.REPEATS,
+    "op9_minhash": oracles.NEAR,
+    "op10_quality": oracles.quality(quality.BOILERPLATE),
 }
