@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -45,8 +46,10 @@ def spark_rows(spark: SparkSession, sf_dir: str, name: str) -> tuple[list[str],
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
+    scratch = tempfile.TemporaryDirectory(prefix="compare-")
     spark = (
         SparkSession.builder.master("local[8]")
+        .config("spark.checkpoint.dir", scratch.name)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
@@ -76,6 +79,8 @@ def main() -> int:
         ours, theirs = set(got[1]), set(want[1])
         print("   only Spark:", sorted(ours - theirs)[:3])
         print("   only SQL:  ", sorted(theirs - ours)[:3], flush=True)
+    spark.stop()
+    scratch.cleanup()
     return bad
 
 
