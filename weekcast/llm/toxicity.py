@@ -1,14 +1,16 @@
 """Toxicity scores from a linear classifier over scaled character n-grams.
 
 Every document is the set of its character n-grams (three to five code points
-of the lower-case text), hashed to 2^20 features.  A feature's value is its
-naive Bayes log-count ratio, r = log((p + 1) / |p|) - log((q + 1) / |q|), where
-p and q count the toxic and the clean labelled documents that contain it, and a
-logistic regression is fitted on those values.
+of the lower-case text).  A feature's value is its naive Bayes log-count ratio,
+r = log((p + 1) / |p|) - log((q + 1) / |q|), where p and q count the toxic and
+the clean labelled documents that contain it, and a logistic regression is
+fitted on those values.
 
 Counts and regression are fitted on at most ``TRAINING_ROWS`` labelled rows,
-those with the smallest hash of their id, and the regression on the
-``FEATURES`` n-grams that tell the classes apart best.
+those with the smallest hash of their id, and on the ``FEATURES`` n-grams that
+tell the classes apart best.  Those are found in two steps: 2^20 buckets of
+hashed n-grams are counted first, then the n-grams of the best buckets by their
+full hash, so that a long clean text cannot meet a toxic feature by collision.
 """
 
 from __future__ import annotations
@@ -19,109 +21,169 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch
 from .common import DOC_ID, TEXT, map_batches, slices, whole_texts
+from .shingles import mixed
 
 LOWEST, LONGEST = 3, 5
 BITS = 20
 TRAINING_ROWS = 20_000
-FEATURES = 20_000
+FEATURES = 1_000
 MIN_DOCUMENTS = 3
-PENALTY = 1e-4
-ITERATIONS = 60
-
-
-class GramSets:
-    """The set of hashed n-grams of a text, each once, in linear time."""
-
-    def __init__(self) -> None:
-        self.place = np.zeros(1 << BITS, np.int64)
-
-    def __call__(self, text: str) -> np.ndarray:
-        """A text shorter than an n-gram lacks that length; an empty one is an empty set."""
-        points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-        code = points.astype(np.uint64)
-        grams = []
-        rolled = code
-        for n in range(2, LONGEST + 1):
-            if len(points) < n or not text:
-                break
-            rolled = rolled[:-1] * np.uint64(0x9E3779B97F4A7C15) + code[n - 1 :]
-            if n >= LOWEST:
-                mixed = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9 + 2 * n)
-                grams.append(mixed >> np.uint64(64 - BITS))
-        if not grams:
+PENALTY = 1e-5
+ITERATIONS = 100
+
+
+def grams(text: str) -> np.ndarray:
+    """64-bit hashes of all n-grams, with repeats.
+
+    A text shorter than an n-gram lacks that length; an empty one has none.
+    """
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    code = points.astype(np.uint64)
+    made = [np.zeros(0, np.uint64)]
+    rolled = code
+    for n in range(2, LONGEST + 1):
+        if len(points) < n or not text:
+            break
+        rolled = rolled[:-1] * np.uint64(0x9E3779B97F4A7C15) + code[n - 1 :]
+        if n >= LOWEST:
+            made.append(mixed(rolled * np.uint64(2 * n + 1)))
+    return np.concatenate(made)
+
+
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+class Chosen:
+    """A set of n-grams and where each stands in it."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.sort(hashes)
+        self.there = np.zeros(1 << BITS, bool)
+        self.there[bucket(self.hashes)] = True
+
+    def places(self, text: str) -> np.ndarray:
+        """Sorted places of the chosen n-grams that a text holds."""
+        found = grams(text)
+        found = np.unique(found[self.there[bucket(found)]])
+        if not len(found) or not len(self.hashes):
             return np.zeros(0, np.int64)
-        every = np.concatenate(grams).astype(np.int64)
-        order = np.arange(len(every))
-        self.place[every] = order  # the last place of each feature
-        return every[self.place[every] == order]
+        at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
+        return at[self.hashes[at] == found]
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights by feature: the regression's coefficients times the ratios."""
+    """Chosen n-grams with their weights, coefficients times ratios."""
 
+    chosen: Chosen
     weights: np.ndarray
     intercept: float
 
-    def probability(self, grams: np.ndarray) -> float:
-        margin = self.intercept + float(self.weights[grams].sum(dtype=np.float64))
+    @staticmethod
+    def empty(intercept: float) -> ToxicityModel:
+        return ToxicityModel(Chosen(np.zeros(0, np.uint64)), np.zeros(0), intercept)
+
+    def probability(self, text: str) -> float:
+        margin = self.intercept + float(self.weights[self.chosen.places(text)].sum())
         return float(1.0 / (1.0 + np.exp(-np.clip(margin, -40.0, 40.0))))
 
 
-def gram_counts(labelled: DataFrame, label: str) -> DataFrame:
-    """``gram, toxic, clean``: in how many documents of each class it occurs.
+_COUNTS = "gram long, toxic long, clean long"
+
+
+def _summed(each: DataFrame) -> DataFrame:
+    return each.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def bucket_counts(labelled: DataFrame, label: str) -> DataFrame:
+    """``gram`` (a bucket), ``toxic, clean``: how many documents of each class
+    have an n-gram in it.
 
-    Each task adds up in two arrays of fixed size and sends one row per n-gram
+    Each task adds up in two arrays of fixed size and sends one row per bucket
     it has seen, so a frequent n-gram is one row per task.
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = GramSets()
-        counts = np.zeros((2, 1 << BITS), np.int64)
+        counts = np.zeros((2, 1 << BITS), np.int32)
         for batch in batches:
             for part in slices(batch):
                 for text, mark in zip(part[0].to_pylist(), part[1].to_pylist()):
-                    counts[mark, sets(text)] += 1
-        seen = np.flatnonzero(counts.sum(axis=0))
-        for at in range(0, len(seen), 50_000):
-            some = seen[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(counts[1, some]), pa.array(counts[0, some])],
-                names=["gram", "toxic", "clean"],
-            )
-
-    each = map_batches(labelled.select(TEXT, label), step, "gram long, toxic long, clean long")
-    return each.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+                    own = np.zeros(1 << BITS, bool)
+                    own[bucket(grams(text))] = True
+                    counts[mark] += own
+        seen = np.flatnonzero(counts.any(axis=0))
+        yield from _count_rows(seen, counts[1, seen], counts[0, seen])
+
+    return _summed(map_batches(labelled.select(TEXT, label), step, _COUNTS))
 
 
-def _gram_rows(labelled: DataFrame, label: str, chosen: np.ndarray, ratios: np.ndarray) -> DataFrame:
-    """Training rows as sparse vectors over the chosen n-grams."""
-    index = np.full(1 << BITS, -1, np.int32)
-    index[chosen] = np.arange(len(chosen))
+def gram_counts(labelled: DataFrame, label: str, buckets: np.ndarray) -> DataFrame:
+    """The same by full hash, for the n-grams that lie in ``buckets``."""
+    there = np.zeros(1 << BITS, bool)
+    there[buckets] = True
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = GramSets()
+        sums: dict[int, list[int]] = {}
         for batch in batches:
             for part in slices(batch):
-                found = []
-                for text in part[0].to_pylist():
-                    own = index[sets(text)]
-                    found.append(np.sort(own[own >= 0]))
+                for text, mark in zip(part[0].to_pylist(), part[1].to_pylist()):
+                    found = grams(text)
+                    for gram in np.unique(found[there[bucket(found)]]).view(np.int64).tolist():
+                        sums.setdefault(gram, [0, 0])[mark] += 1
+        counts = np.array(list(sums.values()), np.int64).reshape(-1, 2)
+        yield from _count_rows(np.array(list(sums), np.int64), counts[:, 1], counts[:, 0])
+
+    return _summed(map_batches(labelled.select(TEXT, label), step, _COUNTS))
+
+
+def _count_rows(gram: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(gram), 50_000):
+        columns = [pa.array(c[at : at + 50_000].astype(np.int64)) for c in (gram, toxic, clean)]
+        yield pa.RecordBatch.from_arrays(columns, names=["gram", "toxic", "clean"])
+
+
+def _best(counts: DataFrame, toxic: int, clean: int, limit: int) -> list:
+    """The n-grams or buckets whose share of toxic documents is furthest from
+    the average for their number (a chi-square statistic)."""
+    n = F.col("toxic") + F.col("clean")
+    expected = n * F.lit(toxic / (toxic + clean))
+    gap = (F.col("toxic") - expected) ** 2 / (expected * (1 - expected / n))
+    ranked = counts.where(n >= MIN_DOCUMENTS).withColumn("gap", gap)
+    return ranked.orderBy(F.desc("gap"), "gram").limit(limit).collect()
+
+
+def _gram_rows(labelled: DataFrame, label: str, chosen: Chosen) -> DataFrame:
+    """Training rows as lists of their places among the chosen n-grams."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                found = [chosen.places(text) for text in part[0].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.list_(pa.int32())), part[1].cast(pa.float64())],
+                    [pa.array(found, pa.list_(pa.int64())), part[1].cast(pa.float64())],
                     names=["places", "label"],
                 )
 
-    rows = map_batches(labelled.select(TEXT, label), step, "places array<int>, label double")
-    size = len(chosen)
-    vector = F.udf(lambda at: SparseVector(size, at, ratios[at].tolist()), VectorUDT())
-    return rows.select(vector("places").alias("features"), "label")
+    return map_batches(labelled.select(TEXT, label), step, "places array<long>, label double")
+
+
+def _vectors(rows: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """The lists as sparse vectors whose entries are the n-grams' ratios."""
+    names = [str(n) for n in range(len(ratios))]
+    ones = CountVectorizerModel.from_vocabulary(names, "names", "ones", minTF=1.0, binary=True)
+    scaled = ElementwiseProduct(
+        scalingVec=Vectors.dense(ratios.tolist()), inputCol="ones", outputCol="features"
+    )
+    named = rows.select(F.col("places").cast("array<string>").alias("names"), "label")
+    return scaled.transform(ones.transform(named)).select("features", "label")
 
 
 def fit(
@@ -145,39 +207,32 @@ def fit(
     order = [F.xxhash64(DOC_ID), F.col(DOC_ID), F.col("label")]
     marks = marks.where("label in (0, 1)").orderBy(*order).limit(training_rows)
     rows = work.keep(whole_texts(docs).join(F.broadcast(marks), DOC_ID).select(TEXT, "label"))
-    counts = work.keep(gram_counts(rows, "label"))
-    weights = np.zeros(1 << BITS, np.float32)
     sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    share = toxic / (toxic + clean) if toxic + clean else 0.5
+    plain = ToxicityModel.empty(float(np.log(share + 1e-9) - np.log(1 - share + 1e-9)))
     if not toxic or not clean:
         work.remove()
-        share = toxic / (toxic + clean) if toxic + clean else 0.5
-        odds = np.log(share + 1e-9) - np.log(1 - share + 1e-9)
-        return ToxicityModel(weights, float(odds))
+        return plain
 
+    buckets = _best(work.keep(bucket_counts(rows, "label")), toxic, clean, 2 * features)
+    counts = work.keep(gram_counts(rows, "label", np.array([r.gram for r in buckets], np.int64)))
     total = counts.agg(F.sum("toxic").alias("p"), F.sum("clean").alias("q")).first()
-    n = F.col("toxic") + F.col("clean")
-    expected = n * F.lit(toxic / (toxic + clean))
-    gap = (F.col("toxic") - expected) ** 2 / (expected * (1 - expected / n))
-    best = (
-        counts.where(n >= MIN_DOCUMENTS)
-        .select("gram", "toxic", "clean", gap.alias("gap"))
-        .orderBy(F.desc("gap"), "gram")
-        .limit(features)
-        .toPandas()
-        .sort_values("gram")
-    )
-    chosen = best["gram"].to_numpy()
-    ratios = np.log((best["toxic"].to_numpy() + 1.0) / total.p) - np.log(
-        (best["clean"].to_numpy() + 1.0) / total.q
+    best = _best(counts, toxic, clean, features)
+    if not best:
+        work.remove()
+        return plain
+    best.sort(key=lambda r: r.gram % (1 << 64))  # as unsigned numbers
+    chosen = Chosen(np.array([r.gram for r in best], np.int64).view(np.uint64))
+    ratios = np.log([(r.toxic + 1.0) / total.p for r in best]) - np.log(
+        [(r.clean + 1.0) / total.q for r in best]
     )
-    vectors = work.keep(_gram_rows(rows, "label", chosen, ratios))
+    vectors = _vectors(work.keep(_gram_rows(rows, "label", chosen)), ratios)
     model = LogisticRegression(
         regParam=PENALTY, elasticNetParam=0.0, standardization=False, maxIter=ITERATIONS
     ).fit(vectors)
-    weights[chosen] = model.coefficients.toArray() * ratios
     work.remove()
-    return ToxicityModel(weights, float(model.intercept))
+    return ToxicityModel(chosen, model.coefficients.toArray() * ratios, float(model.intercept))
 
 
 def score(docs: DataFrame, model: ToxicityModel, *more: str) -> DataFrame:
@@ -191,10 +246,9 @@ def score(docs: DataFrame, model: ToxicityModel, *more: str) -> DataFrame:
     schema = ", ".join(["doc_id long", *[f"`{c}` {kinds[c]}" for c in more], "score double"])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = GramSets()
         for batch in batches:
             for part in slices(batch):
-                found = [probability(sets(text)) for text in part[1].to_pylist()]
+                found = [probability(text) for text in part[1].to_pylist()]
                 kept = [part[0], *part.columns[2:], pa.array(found, pa.float64())]
                 yield pa.RecordBatch.from_arrays(kept, names=["doc_id", *more, "score"])
 
@@ -207,11 +261,10 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
     place = docs.columns.index(TEXT)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = GramSets()
         for batch in batches:
             for part in slices(batch):
                 texts = part[place].to_pylist()
-                stays = [probability(sets(text or "")) < threshold for text in texts]
+                stays = [probability(text or "") < threshold for text in texts]
                 yield part.filter(pa.array(stays, pa.bool_()))
 
     return map_batches(docs, step, docs.schema)
