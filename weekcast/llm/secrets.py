@@ -293,9 +293,13 @@ def labelled_strings(docs: DataFrame, per_kind: int = SAMPLE_PER_KIND) -> DataFr
             )
 
     found = map_batches(whole_texts(docs).select(TEXT), step, "kind string, value string, place long")
-    order = Window.partitionBy("kind").orderBy("place", "value")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= per_kind).select("kind", "value")
+    # There are few kinds: the first of each of 64 parts, then the first of those.
+    first = found.distinct().withColumn("part", F.pmod("place", F.lit(64)))
+    for keys in (["kind", "part"], ["kind"]):
+        order = Window.partitionBy(*keys).orderBy("place", "value")
+        ranked = first.withColumn("rank", F.row_number().over(order))
+        first = ranked.where(F.col("rank") <= per_kind).drop("rank")
+    return first.select("kind", "value")
 
 
 def fit(docs: DataFrame, per_kind: int = SAMPLE_PER_KIND) -> SecretModel:
