@@ -1,10 +1,17 @@
 """SentencePiece encoding and decoding.
 
 An Aho-Corasick automaton over the pieces reads a text once.  At every position
-the chain of output links lists all pieces that end there, longest first, and
-each relaxes the best score of a segmentation up to that position (Viterbi).
-Scores are the vocabulary's own.  A character no piece covers becomes its
-UTF-8 bytes.
+the chain of output links lists all pieces that end there, longest first.  What
+they do to that position depends on the vocabulary:
+
+score   every piece relaxes the best score of a segmentation up to there
+        (Viterbi).  This is how a vocabulary of log-probabilities is meant.
+merges  where scores are ranks of merges, their sum means nothing.  The piece is
+        taken whose pair with the last piece before it no merge would change;
+        there is exactly one, and following it gives what merging in the order
+        of ranks gives.
+
+A character no piece covers becomes its UTF-8 bytes.
 
 Where no piece reaches across a change from letters to digits or signs, nor
 into the next word, the best segmentation of a text is that of such stretches
@@ -28,6 +35,7 @@ from .common import map_batches, slices, whole_texts
 SPACE = "▁"  # fixed value: stands for a space inside pieces
 UNKNOWN_PENALTY = 10.0  # fixed value: below the lowest score, for uncovered characters
 CACHED_WORDS = 200_000
+CACHED_PAIRS = 500_000
 CELLS = 1 << 18  # characters that are solved side by side
 
 ENCODED = "doc_id long, ids array<int>, n_tokens long, round_trip boolean"
@@ -70,6 +78,12 @@ class Automaton:
         edges = sorted(
             (at * self.width + code, child) for at, own in enumerate(moves) for code, child in own.items()
         )
+        self.text = [""] * len(moves)
+        for text in pieces:
+            at = 0
+            for char in text:
+                at = moves[at][self.alphabet[char]]
+            self.text[at] = text
         self.edge = np.array([e for e, _ in edges] + [len(moves) * self.width], np.int64)
         self.child = np.array([c for _, c in edges] + [0], np.int64)
         self.fail, self.link = np.array(fail), np.array(link)
@@ -120,10 +134,91 @@ def _cut_rule(pieces: Iterable[str]) -> re.Pattern:
     return re.compile("(?s).+")
 
 
+class Merges:
+    """Which pieces, and which pairs of them, are stable under all merges."""
+
+    def __init__(self, automaton: Automaton, pieces: dict[str, tuple[int, float]]):
+        self.text = automaton.text
+        self.rank = {text: -score for text, (_, score) in pieces.items()}
+        self.parts: dict[str, tuple[str, str] | None] = {}  # of the merge that makes a piece
+        self.whole = np.array([bool(t) and self.merged(t) == [t] for t in self.text])
+        self.left: dict[str, list[str] | None] = {}
+        self.right: dict[str, list[str] | None] = {}
+        self.known: dict[int, bool] = {}
+
+    def merged(self, text: str) -> list[str]:
+        """All merges in the order of ranks, the leftmost first."""
+        parts = list(text)
+        while len(parts) > 1:
+            ranks = [self.rank.get(a + b, np.inf) for a, b in zip(parts, parts[1:])]
+            best = min(ranks)
+            if best == np.inf:
+                break
+            at = ranks.index(best)
+            self.parts.setdefault(parts[at] + parts[at + 1], (parts[at], parts[at + 1]))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def edge(self, text: str, side: int) -> list[str] | None:
+        """What stands at one end of a piece while it is merged, from its first
+        character to itself; None if the ranks on the way do not rise."""
+        made = (self.left, self.right)[side]
+        if text not in made:
+            way = [text]
+            while len(way[-1]) > 1:
+                way.append(self.parts[way[-1]][side])
+            way.reverse()
+            ranks = [self.rank[t] for t in way[1:]]
+            made[text] = way if all(a < b for a, b in zip(ranks, ranks[1:])) else None
+        return made[text]
+
+    def pair(self, left: str, right: str) -> bool:
+        """Whether merging both together never joins them.
+
+        Their facing ends grow in the order of ranks; a merge across would have
+        to come before either grows on, and of equal ranks the left one is first.
+        """
+        a, b = self.edge(left, 1), self.edge(right, 0)
+        if a is None or b is None:
+            return self.merged(left + right) == [left, right]
+        i = j = 0
+        while True:
+            after = self.rank[a[i + 1]] if i + 1 < len(a) else np.inf
+            other = self.rank[b[j + 1]] if j + 1 < len(b) else np.inf
+            across = self.rank.get(a[i] + b[j], np.inf)
+            if across < after and across <= other and across < np.inf:
+                return False
+            if after == other == np.inf:
+                return True
+            if after <= other:
+                i += 1
+            else:
+                j += 1
+
+    def stable(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Whether each pair of states stays as it is; 0 is an uncovered character."""
+        keys, place = np.unique(before * len(self.text) + after, return_inverse=True)
+        found = np.ones(len(keys), bool)
+        for n, key in enumerate(keys.tolist()):
+            known = self.known.get(key)
+            if known is None:
+                a, b = divmod(key, len(self.text))
+                known = not a or self.pair(self.text[a], self.text[b])
+                if len(self.known) >= CACHED_PAIRS:
+                    self.known.clear()
+                self.known[key] = known
+            found[n] = known
+        return found[place]
+
+
 class Codec:
-    """Encoder and decoder of one model file."""
+    """Encoder and decoder of one model file.
+
+    ``rule`` is "score" or "merges"; by itself it follows from the file: merge
+    models count their pieces' scores down (late additions share the lowest).
+    """
 
-    def __init__(self, path: str, limit: int = CACHED_WORDS):
+    def __init__(self, path: str, limit: int = CACHED_WORDS, rule: str | None = None):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -140,6 +235,12 @@ class Codec:
         self.sizes = {number: len(text) for text, (number, _) in plain.items()}
         self.unknown = model.unk_id()
         self.unknown_score = min(score for _, score in plain.values()) - UNKNOWN_PENALTY
+        scores = [score for _, score in plain.values()]
+        lowest = min(scores)
+        ranks = [score for score in scores if score > lowest]
+        counted = all(a - b >= 1 and a == int(a) for a, b in zip(ranks, ranks[1:]))
+        rule = rule or ("merges" if counted else "score")
+        self.merges = Merges(self.automaton, plain) if rule == "merges" else None
         self.cut = _cut_rule(plain)
         self.known: dict[str, bytes] = {}
         self.written = [
@@ -187,6 +288,9 @@ class Codec:
             out = np.where(a.piece[state] >= 0, state, a.link[state])
             here = rows[out > 0]
             out = out[here]
+            if self.merges:
+                self._take_stable(i, here, out, best, chosen)
+                here = here[:0]
             while len(here):
                 value = best[i + 1 - a.length[out], here] + a.score[out]
                 better = value > best[i + 1, here]
@@ -213,6 +317,24 @@ class Codec:
             found = ids[n, longest - used[n] :]
             yield self._spell(word, found.tolist()) if spelled[n] else found.tobytes()
 
+    def _take_stable(
+        self, i: int, here: np.ndarray, out: np.ndarray, best: np.ndarray, chosen: np.ndarray
+    ) -> None:
+        """The piece that ends after character ``i`` and that no merge changes."""
+        a, merges = self.automaton, self.merges
+        while len(here):
+            start = i + 1 - a.length[out]
+            whole = merges.whole[out]
+            fits = whole & (start == 0)
+            asked = whole & (start > 0)
+            fits[asked] = merges.stable(
+                chosen[start[asked], here[asked]].astype(np.int64), out[asked]
+            )
+            best[i + 1, here[fits]] = 0.0
+            chosen[i + 1, here[fits]] = out[fits]
+            here, out = here[~fits], a.link[out[~fits]]
+            here, out = here[out > 0], out[out > 0]
+
     def _spell(self, word: str, pieces: list[int]) -> bytes:
         """Uncovered characters, marked -1, become their bytes."""
         ids, at = [], 0
@@ -248,13 +370,13 @@ class Codec:
         return text[1:] if self.prefixed and text.startswith(" ") else text
 
 
-_CODECS: dict[str, Codec] = {}  # one per Python worker, kept between tasks
+_CODECS: dict[tuple, Codec] = {}  # one per Python worker, kept between tasks
 
 
-def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+def codec(path: str, rule: str | None = None) -> Codec:
+    if (path, rule) not in _CODECS:
+        _CODECS[path, rule] = Codec(path, rule=rule)
+    return _CODECS[path, rule]
 
 
 def _lists(ids: list[bytes]) -> pa.ListArray:
@@ -262,9 +384,9 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
 
 
-def encode(docs: DataFrame, model: str) -> DataFrame:
+def encode(docs: DataFrame, model: str, rule: str | None = None) -> DataFrame:
     """``doc_id, ids, n_tokens`` and ``round_trip``, whether decoding gives the
-    text back, one row per row of ``docs``.
+    text back, one row per row of ``docs``.  ``rule`` as for ``Codec``.
 
     A null or empty text has no ids.  A text holding the piece mark itself, or
     one the model's normaliser changes, does not come back as it was.  Repeated
@@ -272,7 +394,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = codec(model)
+        pieces = codec(model, rule)
         for batch in batches:
             for part in slices(batch, 2 << 20):
                 texts = part[1].to_pylist()
