@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import Scratch
+from ..session import Scratch, scratch
 from .common import DOC_ID, map_batches, slices, whole_texts
 from .components import components
 from .shingles import WORDS, CirculantMinHash, band_keys, shingle_set
@@ -228,8 +228,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     described = work.keep(
         describe(docs, words).withColumn("row", F.monotonically_increasing_id())
     )
-    links = work.keep(near_links(docs, described, work, words, percent))
-    joined = components(links, work)
+    with scratch(docs.sparkSession, "minhash-links") as steps:
+        links = work.keep(near_links(docs, described, steps, words, percent))
+        joined = work.keep(components(links, steps))
     narrow = described.select("row", DOC_ID, "set_hash", "n_shingles")
     sets = narrow.where("n_shingles > 0").groupBy("set_hash").agg(
         F.min("row").alias("row"), F.min(DOC_ID).alias("least")
@@ -238,7 +239,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     grouped = sets.join(joined.withColumnRenamed("node", "row"), "row", "left").select(
         "set_hash", "least", F.coalesce("component", "row").alias("component")
     )
-    whole = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    whole = work.keep(grouped.groupBy("component").agg(F.min("least").alias("component_id")))
     of_set = work.keep(grouped.join(whole, "component").select("set_hash", "component_id"))
     own = narrow.join(of_set, "set_hash", "left")
     component = F.coalesce("component_id", F.col(DOC_ID))
