@@ -35,7 +35,7 @@ from .shingles import WORDS, CirculantMinHash, band_keys, shingle_set
 
 BANDS, ROWS = 96, 6
 PERCENT = 75
-BLOCK_SETS, BLOCK_SHINGLES = 1024, 500_000
+BLOCK_SETS, BLOCK_SHINGLES = 512, 250_000
 OVERLAPS_AT_ONCE = 2_000_000
 
 _DESCRIBED = "doc_id long, set_hash binary, n_shingles long, bands array<long>"
