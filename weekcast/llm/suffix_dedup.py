@@ -464,7 +464,8 @@ def remove_repeats(
             F.octet_length(text).cast("long").alias("n_bytes"),
         )
     )
-    spans = repeated_spans(docs, work, least, gram, group_contexts)
+    steps = Scratch(docs.sparkSession, "suffix-spans")
+    spans = repeated_spans(docs, steps, least, gram, group_contexts)
     gathered = spans.groupBy(DOC_ID, KEY).agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")
     )
@@ -479,6 +480,7 @@ def remove_repeats(
     asked = gathered.join(lone, mine, "left_semi")
     same = F.col(DOC_ID).eqNullSafe(F.col("_id")) & (F.col(KEY) == F.col("_key"))
     cut = work.keep(_cut(_packed(docs).join(asked, same).select(DOC_ID, KEY, "data", "spans")))
+    steps.remove()
     found = cut.select(
         F.col(DOC_ID).alias("_id"), F.col(KEY).alias("_key"), "n_removed", "n_spans", "kept_sha256"
     )
