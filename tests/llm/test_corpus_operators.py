@@ -281,6 +281,14 @@ def test_near_duplicates_of_odd_tables(docs):
     assert sorted(r.doc_id for r in left.collect()) == [0, 2, 3] and left.columns[-1] == "kept"
 
 
+def test_first_row_of_a_set_without_an_id(spark):
+    """Row numbers follow the order of one partition, so the null id comes first."""
+    rows = [(None, prose(1)), (5, prose(1)), (2, prose(1) + " x"), (None, prose(2)), (None, prose(2)), (8, prose(2) + " x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(frame).collect()}
+    assert found == {(None, 2, False), (5, 2, False), (2, 2, True), (None, 8, False), (8, 8, True)}
+
+
 def test_links_within_a_bin_equal_all_pairs():
     draw = np.random.RandomState(7)
     sets = []

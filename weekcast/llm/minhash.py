@@ -31,14 +31,16 @@ from pyspark.sql import functions as F
 from ..session import Scratch, scratch
 from .common import DOC_ID, map_batches, slices, whole_texts
 from .components import components
+from .exact_dedup import digest
 from .shingles import WORDS, CirculantMinHash, band_keys, shingle_set
 
 BANDS, ROWS = 96, 6
 PERCENT = 75
 BLOCK_SETS, BLOCK_SHINGLES = 512, 250_000
 OVERLAPS_AT_ONCE = 2_000_000
+KEY = "text_key"  # tells texts apart that share an id, null ids included
 
-_DESCRIBED = "doc_id long, set_hash binary, n_shingles long, bands array<long>"
+_DESCRIBED = "doc_id long, text_key binary, set_hash binary, n_shingles long, bands array<long>"
 
 
 def _set_hash(shingles: np.ndarray) -> bytes | None:
@@ -46,7 +48,7 @@ def _set_hash(shingles: np.ndarray) -> bytes | None:
 
 
 def describe(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, set_hash, n_shingles, bands`` per row of ``docs``.
+    """``doc_id, text_key, set_hash, n_shingles, bands`` per row of ``docs``.
 
     A task gives the bands of a set with the first row that has it.
     """
@@ -67,12 +69,12 @@ def describe(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
                         seen.add(own)
                         keys[-1] = band_keys(hashing.signature(shingles), rows).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part[0], pa.array(hashes, pa.binary()), pa.array(sizes, pa.int64()),
+                    [part[0], part[2], pa.array(hashes, pa.binary()), pa.array(sizes, pa.int64()),
                      pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "set_hash", "n_shingles", "bands"],
+                    names=["doc_id", KEY, "set_hash", "n_shingles", "bands"],
                 )
 
-    return map_batches(whole_texts(docs), step, _DESCRIBED)
+    return map_batches(whole_texts(docs, digest().alias(KEY)), step, _DESCRIBED)
 
 
 def _overlaps(own: np.ndarray, begin: np.ndarray, size: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
@@ -137,7 +139,7 @@ def near_links(docs: DataFrame, described: DataFrame, work: Scratch, words: int
     hashed = described.where("n_shingles > 0")
     firsts = work.keep(
         hashed.groupBy("set_hash").agg(
-            F.min(F.struct("row", DOC_ID, "n_shingles")).alias("first")
+            F.min(F.struct("row", DOC_ID, KEY, "n_shingles")).alias("first")
         ).select("set_hash", "first.*")
     )
     # Rows of equal sets are told apart here only by the task they come from.
@@ -193,17 +195,21 @@ def near_links(docs: DataFrame, described: DataFrame, work: Scratch, words: int
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``row, n_shingles, shingles`` of the wanted rows, from their texts again;
     cheaper than keeping the sets of all documents."""
-    asked = whole_texts(docs).join(wanted.select(DOC_ID, "row", "set_hash"), DOC_ID)
+    texts = whole_texts(docs, digest().alias(KEY))
+    named = wanted.select(F.col(DOC_ID).alias("_id"), F.col(KEY).alias("_key"), "row")
+    same = [texts[DOC_ID].eqNullSafe(named["_id"]), texts[KEY] == named["_key"]]
+    asked = texts.join(named, same).select("text", "row")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of repeated rows a task gives one
         for batch in batches:
             for part in slices(batch):
                 rows, found = [], []
-                for text, row, own in zip(*(part[c].to_pylist() for c in ("text", "row", "set_hash"))):
-                    shingles = shingle_set(text, words)
-                    if _set_hash(shingles) == own:  # not another text under the same id
+                for text, row in zip(part[0].to_pylist(), part[1].to_pylist()):
+                    if row not in seen:
+                        seen.add(row)
                         rows.append(row)
-                        found.append(shingles.view(np.int64))
+                        found.append(shingle_set(text, words).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows, pa.int64()), pa.array([len(s) for s in found], pa.int64()),
                      pa.array(found, pa.list_(pa.int64()))],
