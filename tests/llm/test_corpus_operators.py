@@ -289,6 +289,26 @@ def test_first_row_of_a_set_without_an_id(spark):
     assert found == {(None, 2, False), (5, 2, False), (2, 2, True), (None, 8, False), (8, 8, True)}
 
 
+def test_one_row_of_a_group_stays_under_null_and_repeated_ids(docs):
+    near = [prose(k) + " x" for k in range(10)]
+    rows = [
+        (None, prose(1)), (7, near[1]), (None, prose(2)),  # a clean text shares the null id of a near copy
+        (1, prose(3)), (3, near[3]), (3, prose(4)),  # and the id of one
+        (9, prose(5)), (9, near[5]),  # two linked texts under one id
+        (None, prose(6)), (None, near[6]), (None, near[6]),  # a group without ids
+        (11, prose(7)), (11, prose(7)), (12, near[7]), (12, near[7]),  # equal rows
+        (13, ""), (13, ""), (None, None), (None, None),
+    ]
+    ids, texts = [i for i, _ in rows], [t for _, t in rows]
+    frame = corpus_pipeline.drop_near_copies(None, docs(texts, ids=ids), None)
+    assert frame.columns == docs([]).columns
+    left = sorted(((r.doc_id, r.text) for r in frame.collect()), key=str)
+    group = lambda k: {prose(k), near[k]}
+    assert [sum(t in group(k) for _, t in left) for k in (1, 2, 3, 4, 5, 6, 7)] == [1] * 7
+    assert {(7, near[1]), (None, prose(2)), (1, prose(3)), (3, prose(4)), (11, prose(7))} <= set(left)
+    assert left.count((13, "")) == 2 and left.count((None, None)) == 2 and len(left) == 11
+
+
 def test_links_within_a_bin_equal_all_pairs():
     draw = np.random.RandomState(7)
     sets = []

@@ -220,35 +220,44 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return made.dropDuplicates(["row"])
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``.
-
-    Two documents are linked if their sets have a Jaccard similarity of at least
-    ``percent`` / 100; ``component_id`` is the smallest ``doc_id`` reachable.
-    A document with fewer words than a shingle is one shingle; one without
-    words, null included, is linked with nothing.  Rows that share a ``doc_id``
-    are judged by their own texts, and of repeated rows each is kept or none.
-    Other columns of ``docs`` are neither read nor returned.
+def _grouped(docs: DataFrame, work: Scratch, words: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, n_shingles`` per row of ``docs`` and ``first``, the
+    ``doc_id``, ``row`` and ``text_key`` of the first row of its component: the
+    least id, no id last, then the least row.  Null for a row without words.
     """
-    work = Scratch(docs.sparkSession, "minhash")
     described = work.keep(
         describe(docs, words).withColumn("row", F.monotonically_increasing_id())
     )
     with scratch(docs.sparkSession, "minhash-links") as steps:
         links = work.keep(near_links(docs, described, steps, words, percent))
         joined = work.keep(components(links, steps))
-    narrow = described.select("row", DOC_ID, "set_hash", "n_shingles")
+    narrow = described.select("row", DOC_ID, KEY, "set_hash", "n_shingles")
+    rank = F.struct(F.col(DOC_ID).isNull().alias("no_id"), DOC_ID, "row", KEY)
     sets = narrow.where("n_shingles > 0").groupBy("set_hash").agg(
-        F.min("row").alias("row"), F.min(DOC_ID).alias("least")
+        F.min("row").alias("row"), F.min(rank).alias("least")
     )
-    # The least id of a component, over all rows of all its sets.
+    # The first row of a component, over all rows of all its sets.
     grouped = sets.join(joined.withColumnRenamed("node", "row"), "row", "left").select(
         "set_hash", "least", F.coalesce("component", "row").alias("component")
     )
-    whole = work.keep(grouped.groupBy("component").agg(F.min("least").alias("component_id")))
-    of_set = work.keep(grouped.join(whole, "component").select("set_hash", "component_id"))
-    own = narrow.join(of_set, "set_hash", "left")
-    component = F.coalesce("component_id", F.col(DOC_ID))
+    whole = work.keep(grouped.groupBy("component").agg(F.min("least").alias("first")))
+    of_set = work.keep(grouped.join(whole, "component").select("set_hash", "first"))
+    return narrow.join(of_set, "set_hash", "left").select(DOC_ID, KEY, "n_shingles", "first")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``.
+
+    Two documents are linked if their sets have a Jaccard similarity of at least
+    ``percent`` / 100; ``component_id`` is the smallest ``doc_id`` reachable.
+    A document with fewer words than a shingle is one shingle; one without
+    words, null included, is linked with nothing.  Rows that share a ``doc_id``
+    are judged by their own texts, and of repeated rows each is kept or none.
+    Other columns of ``docs`` are neither read nor returned.
+    """
+    work = Scratch(docs.sparkSession, "minhash")
+    own = _grouped(docs, work, words, percent)
+    component = F.coalesce("first.doc_id", F.col(DOC_ID))
     return own.select(
         DOC_ID,
         "n_shingles",
@@ -258,7 +267,31 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each group, all columns."""
-    judged = near_duplicates(docs, words, percent)
-    gone = judged.where(~F.col("kept")).select(F.col(DOC_ID).alias("_gone_id")).distinct()
-    return docs.join(gone, F.col(DOC_ID).eqNullSafe(F.col("_gone_id")), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Of the rows of a component exactly one stays, that with the least ``doc_id``
+    (one without an id only if none has one) and then the least row; where
+    several rows share its ``doc_id`` and text, any one of them does.  Rows
+    without words all stay.
+    """
+    work = Scratch(docs.sparkSession, "minhash")
+    own = _grouped(docs, work, words, percent).where(F.col("first").isNotNull())
+    first = F.col(DOC_ID).eqNullSafe(F.col("first.doc_id")) & (F.col(KEY) == F.col(f"first.{KEY}"))
+    gone = own.where(~first).select(F.col(DOC_ID).alias("_gone_id"), F.col(KEY).alias("_gone_key"))
+    again = work.keep(
+        own.where(first).groupBy(F.col(DOC_ID).alias("_again_id"), F.col(KEY).alias("_again_key"))
+        .count().where("count > 1").drop("count")
+    )
+    mine = ["_near_id", "_near_key"]
+
+    def same(rows: DataFrame, keys: DataFrame) -> list:
+        one, two = keys.columns
+        return [rows[mine[0]].eqNullSafe(keys[one]), rows[mine[1]] == keys[two]]
+
+    marked = docs.withColumns({mine[0]: F.col(DOC_ID), mine[1]: digest()})
+    gone = gone.distinct()
+    left = marked.join(gone, same(marked, gone), "left_anti")
+    if not again.isEmpty():
+        one = left.join(again, same(left, again), "left_semi").dropDuplicates(mine)
+        left = left.join(again, same(left, again), "left_anti").unionByName(one)
+    return left.select(*docs.columns)
