@@ -271,6 +271,29 @@ def test_without_both_classes_the_share_decides(spark, docs):
         assert by_id(toxicity.score(docs(["any"]), model))[0][0].score == pytest.approx(want, abs=1e-6)
 
 
+def test_best_grams_are_chosen_among_all(spark, docs, monkeypatch):
+    """A toxic and a clean n-gram share a bucket of hashes; four lesser ones don't."""
+    draw = np.random.RandomState(3)
+    letters = lambda n: "".join(map(chr, draw.randint(0x4E00, 0x9FA0, n)))
+    long = letters(60_000)
+    hashes = toxicity.grams(long)[1 : len(long) - 1]  # of long[i : i + 3]
+    order = np.argsort(toxicity.bucket(hashes))
+    buckets = toxicity.bucket(hashes)[order]
+    pair = order[np.flatnonzero(buckets[1:] == buckets[:-1])[0] :][:2]
+    toxic_gram, clean_gram = (long[i : i + 3] for i in pair)
+    lesser = [letters(3) for _ in range(6)]
+    toxic = ["".join(letters(4) + g for g in [toxic_gram, *(lesser if i < 8 else [])]) + letters(4) for i in range(10)]
+    clean = [letters(20) + clean_gram + letters(20) for _ in range(10)]
+    labels = spark.createDataFrame([(i, int(i < 10)) for i in range(20)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "_vectors", lambda rows, ratios, f=toxicity._vectors: seen.append(ratios) or f(rows, ratios))
+    model = toxicity.fit(docs(toxic + clean), labels, features=2)
+    assert model.chosen.hashes.tolist() == sorted(hashes[pair].tolist())
+    p, q = (sum(len(np.unique(toxicity.grams(t))) for t in texts) for texts in (toxic, clean))
+    want = {int(hashes[pair[0]]): np.log(11 / p) - np.log(1 / q), int(hashes[pair[1]]): np.log(1 / p) - np.log(11 / q)}
+    assert seen[0] == pytest.approx([want[h] for h in model.chosen.hashes.tolist()])
+
+
 # --- quality -----------------------------------------------------------------------
 
 

@@ -8,9 +8,9 @@ fitted on those values.
 
 Counts and regression are fitted on at most ``TRAINING_ROWS`` labelled rows,
 those with the smallest hash of their id, and on the ``FEATURES`` n-grams that
-tell the classes apart best.  Those are found in two steps: 2^20 buckets of
-hashed n-grams are counted first, then the n-grams of the best buckets by their
-full hash, so that a long clean text cannot meet a toxic feature by collision.
+tell the classes apart best, of those that at least ``MIN_DOCUMENTS`` of the
+rows contain.  All n-grams of the rows are counted by their full hash, so that
+neither the choice nor a long clean text meets another n-gram by collision.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ BITS = 20
 TRAINING_ROWS = 20_000
 FEATURES = 1_000
 MIN_DOCUMENTS = 3
+COUNTED_AT_ONCE = 2_000_000
 PENALTY = 1e-5
 ITERATIONS = 100
 
@@ -99,49 +100,34 @@ class ToxicityModel:
 _COUNTS = "gram long, toxic long, clean long"
 
 
-def _summed(each: DataFrame) -> DataFrame:
-    return each.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-
-
-def bucket_counts(labelled: DataFrame, label: str) -> DataFrame:
-    """``gram`` (a bucket), ``toxic, clean``: how many documents of each class
-    have an n-gram in it.
+def gram_counts(labelled: DataFrame, label: str) -> DataFrame:
+    """``gram, toxic, clean``: how many documents of each class have an n-gram,
+    for all n-grams by their full hash.
 
-    Each task adds up in two arrays of fixed size and sends one row per bucket
-    it has seen, so a frequent n-gram is one row per task.
+    Each task adds up ``COUNTED_AT_ONCE`` n-grams at a time, so a frequent one
+    is a few rows per task and no task holds all it has seen.
     """
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << BITS), np.int32)
-        for batch in batches:
-            for part in slices(batch):
-                for text, mark in zip(part[0].to_pylist(), part[1].to_pylist()):
-                    own = np.zeros(1 << BITS, bool)
-                    own[bucket(grams(text))] = True
-                    counts[mark] += own
-        seen = np.flatnonzero(counts.any(axis=0))
-        yield from _count_rows(seen, counts[1, seen], counts[0, seen])
-
-    return _summed(map_batches(labelled.select(TEXT, label), step, _COUNTS))
-
-
-def gram_counts(labelled: DataFrame, label: str, buckets: np.ndarray) -> DataFrame:
-    """The same by full hash, for the n-grams that lie in ``buckets``."""
-    there = np.zeros(1 << BITS, bool)
-    there[buckets] = True
+    def added(held: tuple[list, list]) -> Iterator[pa.RecordBatch]:
+        gram, at = np.unique(np.concatenate(held[0] + held[1]), return_inverse=True)
+        clean = np.bincount(at[: sum(map(len, held[0]))], minlength=len(gram))
+        yield from _count_rows(gram.view(np.int64), np.bincount(at, minlength=len(gram)) - clean, clean)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list[int]] = {}
+        held, size = ([], []), 0
         for batch in batches:
             for part in slices(batch):
                 for text, mark in zip(part[0].to_pylist(), part[1].to_pylist()):
-                    found = grams(text)
-                    for gram in np.unique(found[there[bucket(found)]]).view(np.int64).tolist():
-                        sums.setdefault(gram, [0, 0])[mark] += 1
-        counts = np.array(list(sums.values()), np.int64).reshape(-1, 2)
-        yield from _count_rows(np.array(list(sums), np.int64), counts[:, 1], counts[:, 0])
-
-    return _summed(map_batches(labelled.select(TEXT, label), step, _COUNTS))
+                    held[mark].append(np.unique(grams(text)))
+                    size += len(held[mark][-1])
+                    if size >= COUNTED_AT_ONCE:
+                        yield from added(held)
+                        held, size = ([], []), 0
+        if size:
+            yield from added(held)
+
+    each = map_batches(labelled.select(TEXT, label), step, _COUNTS)
+    return each.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def _count_rows(gram: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -151,7 +137,7 @@ def _count_rows(gram: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> Itera
 
 
 def _best(counts: DataFrame, toxic: int, clean: int, limit: int) -> list:
-    """The n-grams or buckets whose share of toxic documents is furthest from
+    """The n-grams whose share of toxic documents is furthest from
     the average for their number (a chi-square statistic)."""
     n = F.col("toxic") + F.col("clean")
     expected = n * F.lit(toxic / (toxic + clean))
@@ -215,8 +201,7 @@ def fit(
         work.remove()
         return plain
 
-    buckets = _best(work.keep(bucket_counts(rows, "label")), toxic, clean, 2 * features)
-    counts = work.keep(gram_counts(rows, "label", np.array([r.gram for r in buckets], np.int64)))
+    counts = work.keep(gram_counts(rows, "label"))
     total = counts.agg(F.sum("toxic").alias("p"), F.sum("clean").alias("q")).first()
     best = _best(counts, toxic, clean, features)
     if not best:
