@@ -2,15 +2,13 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import date, timedelta
 
-import numpy as np
 import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from weekcast.schema import OBSERVATION  # noqa: E402
+from panel_helpers import make_panel, sample_rows  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,28 +28,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def sample_rows(series: str = "ca", n: int = 70) -> list[tuple]:
-    """Weekly rows from 2023-01-02 with a seeded random target.
-
-    Fixed values: the golden numbers of the tests belong to this recipe.
-    """
-    draw = np.random.RandomState(42)
-    target = draw.randint(800, 3000, size=70).astype(float)[:n]
-    days = [date(2023, 1, 2) + timedelta(weeks=i) for i in range(n)]
-    return [
-        (series, d, d.isocalendar()[1], float(y), float(y) * 20, 5.0) for d, y in zip(days, target)
-    ]
-
-
-def make_panel(spark, rows):
-    return spark.createDataFrame(rows, OBSERVATION)
-
-
 @pytest.fixture(scope="session")
 def sample(spark):
     return make_panel(spark, sample_rows()).persist()
-
-
-def collected(df):
-    """Rows as dicts, in a stable order."""
-    return sorted((r.asDict() for r in df.collect()), key=str)

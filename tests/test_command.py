@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 
-from conftest import sample_rows
+from panel_helpers import sample_rows
 
 from weekcast.__main__ import main
 

@@ -6,7 +6,7 @@ import statistics
 from datetime import date, timedelta
 
 import pytest
-from conftest import collected, make_panel, sample_rows
+from panel_helpers import collected, make_panel, sample_rows
 from pyspark.sql import functions as F
 
 from weekcast.operators import (

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from conftest import make_panel, sample_rows
+from panel_helpers import make_panel, sample_rows
 
 from weekcast.operators import (
     deviation_alerts,

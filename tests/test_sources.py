@@ -4,7 +4,7 @@ import json
 from datetime import date, datetime
 
 import pytest
-from conftest import collected, make_panel, sample_rows
+from panel_helpers import collected, make_panel, sample_rows
 from pyspark.sql import functions as F
 
 from weekcast.sources import (
