@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import os
-import random
 import sys
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 
+from corpus_helpers import prose  # noqa: E402
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -25,15 +26,6 @@ def docs(spark):
     return make
 
 
-WORDS = "the of and river stone walked under bright winter morning letters carry seven old bridges home".split()
-
-
-def prose(seed, n=120, ends=True):
-    draw = random.Random(seed)
-    words = [draw.choice(WORDS) + draw.choice(["", "s", "ed", "ly", "a", "o"]) + draw.choice("aeiou") for _ in range(n)]
-    return " ".join(words) + ("." if ends else "")
-
-
 @pytest.fixture(scope="session")
 def odd_texts():
     """Nulls, empty and blank texts, ties, many languages, very long lines."""
@@ -43,10 +35,3 @@ def odd_texts():
         prose(3) + "\n" + prose(4) + "\r\n" + prose(3), "日本語のテキスト。" * 60, "naïve café ½ 🙂 \x1c İstanbul ΣΑΣ ".strip() * 30,
         long, long + " tail", "\n".join(["same line here."] * 60), prose(5) + " " + "-" * 300, "it's don't we'll <|endoftext|> 3.14",
     ]
-
-
-def by_id(df):
-    rows = {}
-    for r in df.collect():
-        rows.setdefault(r.doc_id, []).append(r)
-    return rows

@@ -8,7 +8,7 @@ import random
 import brute
 import numpy as np
 import pytest
-from conftest import by_id, prose
+from corpus_helpers import by_id, prose
 from pyspark.sql import functions as F
 
 import corpus_pipeline

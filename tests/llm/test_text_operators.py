@@ -9,7 +9,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import by_id, prose
+from corpus_helpers import by_id, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
