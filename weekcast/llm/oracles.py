@@ -73,6 +73,47 @@ reach AS (
 SELECT node AS doc_id, coalesce(max(size), 0) AS n_shingles, min(other) AS component_id, min(other) = node AS kept
 FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node"""
 
+TERMS = f"regexp_extract_all({{}}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+RANKED = f"""
+WITH d AS (SELECT doc_id, {TERMS.format(LOWER)} AS t FROM documents),
+e AS (SELECT doc_id, t, len(t)::BIGINT AS n FROM d WHERE len(t) > 0),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS every FROM e),
+q AS (SELECT item_id, unnest(list_distinct({TERMS.format(LOWER)})) AS term FROM benchmark),
+v AS (SELECT DISTINCT term FROM q),
+p AS (
+  SELECT doc_id, term, any_value(n) AS n, count(*)::BIGINT AS tf
+  FROM (SELECT doc_id, n, unnest(t) AS term FROM e) SEMI JOIN v USING (term) GROUP BY doc_id, term
+),
+w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM p, c GROUP BY term, docs
+),
+s AS (
+  SELECT item_id, doc_id,
+         sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // every))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50"""
+
+PASSAGES = f"""
+WITH d AS (SELECT doc_id, {WORDS.format(PLAIN)} AS w FROM documents),
+g AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS m
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+),
+r AS (SELECT doc_id, i FROM g QUALIFY doc_id > min(doc_id) OVER (PARTITION BY m)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM r),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS rest, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
 
 def quality(boilerplate: tuple[str, ...]) -> str:
     phrases = " OR ".join(f"contains(lower(line), '{phrase}')" for phrase in boilerplate)

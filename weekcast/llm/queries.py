@@ -14,12 +14,15 @@ from . import (
     oracles,
     packing,
     quality,
+    ranked_search,
+    relative_parse,
     secrets,
     sentencepiece_codec,
     sharding,
     suffix_dedup,
     toxicity,
     url_filter,
+    whitening,
 )
 from .common import DOC_ID, TEXT, documents
 
@@ -130,6 +133,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(documents(spark, sf_dir)).drop("clean_text")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranked_search.search(documents(spark, sf_dir), items)
+
+
+def op13_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative_parse.parse(documents(spark, sf_dir)).drop("factors")
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secrets": op2_secrets,
@@ -141,6 +158,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_relative_parse": op13_relative_parse,
 }
 
 ORACLES: dict[str, str] = {
@@ -148,4 +168,6 @@ ORACLES: dict[str, str] = {
     "op5_suffix_dedup": oracles.REPEATS,
     "op9_minhash": oracles.NEAR,
     "op10_quality": oracles.quality(quality.BOILERPLATE),
+    "op12_ranked_search": oracles.RANKED,
+    "op13_relative_parse": oracles.PASSAGES,
 }
