@@ -28,6 +28,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,8 @@ AT_ONCE = 1 << 16
 
 _PHRASES = "row long, id long, place long, gram long, one long, two long"
 _WINDOWS = "one long, two long, phrase long, id long, at int"
+_PRESSED = "id long, digest binary, data binary"
+PRESSED_AT_ONCE = 2 << 20  # bytes of compressed texts that a task unpacks together
 _FACTOR = "struct<start:long,words:long,source:long>"
 _PARSED = f"digest binary, id long, n_words long, n_removed long, factors array<{_FACTOR}>, kept_sha256 string"
 
@@ -58,13 +61,34 @@ def owners(grams: np.ndarray, inside: int) -> np.ndarray:
     return np.concatenate(found) + np.arange(len(view))
 
 
+def _pressed(texts: DataFrame) -> DataFrame:
+    """The words of every text, compressed, for joins that move texts."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in slices(batch):
+                data = [press.compress(b" ".join(words_of(text))) for text in part[2].to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part[0], part[1], pa.array(data, pa.binary())], names=["id", "digest", "data"]
+                )
+
+    return map_batches(texts, step, _PRESSED)
+
+
+def _unpressed(column: pa.Array) -> Iterator[list[bytes]]:
+    unpress = zstandard.ZstdDecompressor()
+    for data in column:
+        yield unpress.decompress(data.as_py()).split()
+
+
 def _first_texts(docs: DataFrame) -> DataFrame:
-    """``row, id, digest, text``: every distinct text with its smallest id."""
-    own = docs.select(F.coalesce(DOC_ID, F.lit(NO_ID)).alias("id"), TEXT)
-    texts = own.select("id", F.coalesce(TEXT, F.lit("")).alias("text"), digest().alias("digest"))
+    """``row, id, digest, data``: every distinct text with its smallest id."""
+    ids = F.coalesce(DOC_ID, F.lit(NO_ID)).alias("id")
+    texts = docs.select(ids, digest().alias("digest"), F.coalesce(TEXT, F.lit("")).alias("text"))
     least = texts.groupBy("digest").agg(F.min("id").alias("id"))
-    firsts = texts.join(least, ["digest", "id"], "left_semi").dropDuplicates(["digest"])
-    return firsts.select(F.monotonically_increasing_id().alias("row"), "id", "digest", "text")
+    firsts = _pressed(texts).join(least, ["digest", "id"], "left_semi").dropDuplicates(["digest"])
+    return firsts.select(F.monotonically_increasing_id().alias("row"), "id", "digest", "data")
 
 
 def _phrases(texts: DataFrame, window: int, gram: int) -> DataFrame:
@@ -75,10 +99,9 @@ def _phrases(texts: DataFrame, window: int, gram: int) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = RunHashes()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, PRESSED_AT_ONCE):
                 made: list[tuple[np.ndarray, ...]] = []
-                for row, number, text in zip(*(column.to_pylist() for column in part.columns)):
-                    words = words_of(text)
+                for row, number, words in zip(part[0].to_pylist(), part[1].to_pylist(), _unpressed(part[2])):
                     many = len(words) - window + 1
                     if many < 1:
                         continue
@@ -98,7 +121,7 @@ def _phrases(texts: DataFrame, window: int, gram: int) -> DataFrame:
                         names=["row", "id", "place", "gram", "one", "two"],
                     )
 
-    return map_batches(texts.select("row", "id", "text"), step, _PHRASES)
+    return map_batches(texts.select("row", "id", "data"), step, _PHRASES)
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
@@ -107,12 +130,12 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = RunHashes()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, PRESSED_AT_ONCE):
                 made = []
-                for text, wanted in zip(part[0].to_pylist(), part[1]):
+                for words, wanted in zip(_unpressed(part[0]), part[1]):
                     place, phrase, number = (wanted.values.field(k).to_numpy() for k in range(3))
                     first, count = place >> 6, place & 63
-                    sums = hashing.sums(hashing.words(words_of(text)))
+                    sums = hashing.sums(hashing.words(words))
                     at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                     start = np.repeat(first, count) + at
                     found = hashing.runs(sums, start, start + window).view(np.int64)
@@ -123,7 +146,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                     names=["one", "two", "phrase", "id", "at"],
                 )
 
-    return map_batches(texts.select("text", "wanted"), step, _WINDOWS)
+    return map_batches(texts.select("data", "wanted"), step, _WINDOWS)
 
 
 def _index(texts: DataFrame, phrases: DataFrame, window: int, work: Scratch) -> DataFrame:
@@ -143,7 +166,7 @@ def _index(texts: DataFrame, phrases: DataFrame, window: int, work: Scratch) ->
     )
     asked = work.keep(distinct.join(varied, "gram").select("row", F.struct("place", "phrase", "id").alias("want")))
     wanted = asked.groupBy("row").agg(F.collect_list("want").alias("wanted"))
-    windows = work.keep(_windows(texts.select("row", "text").join(wanted, "row"), window))
+    windows = work.keep(_windows(texts.select("row", "data").join(wanted, "row"), window))
     known = work.keep(
         windows.groupBy("one", "two").agg(F.min("id").alias("source"), F.max("id").alias("most"))
         .where("source < most").select("one", "two", "source")
@@ -205,10 +228,10 @@ def _parsed(texts: DataFrame, window: int) -> DataFrame:
                  "factors": pa.list_(pa.struct([(k, pa.int64()) for k in ("start", "words", "source")])),
                  "kept_sha256": pa.string()}
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, PRESSED_AT_ONCE):
                 made = {name: [] for name in kinds}
-                for text, matched in zip(part[2].to_pylist(), part[3]):
-                    words, found = words_of(text), []
+                for words, matched in zip(_unpressed(part[2]), part[3]):
+                    found: list[dict] = []
                     if matched.is_valid:
                         parts = (matched.values.field(k).to_numpy() for k in range(3))
                         found = factors_of(len(words) - window + 1, *parts, window)
@@ -222,7 +245,7 @@ def _parsed(texts: DataFrame, window: int) -> DataFrame:
                     names=["digest", "id", *kinds],
                 )
 
-    return map_batches(texts.select("digest", "id", "text", "matched"), step, _PARSED)
+    return map_batches(texts.select("digest", "id", "data", "matched"), step, _PARSED)
 
 
 def _by_text(docs: DataFrame, window: int, gram: int, work: Scratch) -> DataFrame:
