@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -116,3 +117,49 @@ def url_rule(url):
             fits.append(text)
     best = max(fits, key=len, default=None)
     return host, path, best, rules.get(best)
+
+
+TERM = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranking(texts, items, best=50):
+    """Per item: (place of the text, score), best first."""
+    found = [TERM.findall((t or "").translate(LOWER)) for t in texts]
+    total = sum(map(len, found))
+    documents = sum(map(bool, found))
+    counts = [Counter(f) for f in found]
+    holding = Counter(t for c in counts for t in c)
+    out = []
+    for item in items:
+        scores = []
+        for i, c in enumerate(counts):
+            score = 0
+            for term in set(TERM.findall((item or "").translate(LOWER))):
+                if term in c:
+                    m = 100 - 50 + (50 * len(found[i]) * documents) // total
+                    w = math.floor(1000 * math.log((2 * documents + 2) / (2 * holding[term] + 1)))
+                    score += w * ((1000000000 * c[term]) // (1000 * c[term] + 20 * m))
+            if score > 0:
+                scores.append((-score, i))
+        out.append([(i, -s) for s, i in sorted(scores)[:best]])
+    return out
+
+
+def passages_removed(texts, ids, window=50):
+    """Per text: words, words removed, hash of the rest."""
+    words = [WORD.findall(t or "") for t in texts]
+    rank = [float("inf") if i is None else i for i in ids]
+    least = {}
+    for w, r in zip(words, rank):
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i : i + window])
+            least[key] = min(least.get(key, r), r)
+    out = []
+    for w, r in zip(words, rank):
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if least[tuple(w[i : i + window])] < r:
+                gone |= set(range(i, i + window))
+        rest = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((len(w), len(gone), hashlib.sha256(rest.encode()).hexdigest()))
+    return out

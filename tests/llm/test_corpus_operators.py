@@ -58,6 +58,45 @@ def test_anti_join_reads_the_index_without_a_shuffle(spark, docs):
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
 
 
+@pytest.mark.parametrize("first, then", [(8, 4), (4, 8)])
+def test_an_index_keeps_its_number_of_buckets(spark, docs, first, then):
+    path = run_dir(spark, "digests")
+    texts = docs([prose(i, 10) for i in range(200)])
+    made = index(spark, path, first)
+    made.add(texts)
+    made.close()
+    with pytest.raises(ValueError):
+        index(spark, path, then)
+    default = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", then)
+    again = exact_dedup.DigestIndex(spark, path)
+    spark.conf.set("spark.sql.shuffle.partitions", default)
+    assert again.buckets == first
+    rows = exact_dedup.judge(texts, again, again.add(texts)).collect()
+    assert len(rows) == 200 and not any(r.kept for r in rows) and again.groups().count() == 200
+
+
+def test_a_batch_can_be_added_again_under_its_name(spark, docs):
+    path = run_dir(spark, "digests")
+    old, new = docs(["a", "b"]), docs(["b", "c", "c", "d"], ids=[5, 6, 7, 8])
+    own = index(spark, path)
+    own.add(old, "old")
+    first = sorted(map(tuple, exact_dedup.judge(new, own, own.add(new, "new")).collect()))
+    assert sorted(map(tuple, exact_dedup.judge(new, own, own.add(new, "new")).collect())) == first
+    assert [r[4] for r in first] == [False, False, True, True] and own.groups().count() == 4
+    # A batch of which only a part had been written.
+    part = index(spark, run_dir(spark, "digests"))
+    part.add(docs(["c", "c"], ids=[6, 7]), "new")
+    assert {r.doc_id: r.kept for r in exact_dedup.judge(new, part, part.add(new, "new")).collect()} == {5: True, 6: False, 7: True, 8: True}
+
+
+def test_a_hot_text_of_great_length(spark, docs):
+    texts = ["long " * 40_000] * 30 + [f"x{i}" for i in range(30)]
+    own = index(spark)
+    rows = exact_dedup.judge(docs(texts), own, own.add(docs(texts))).collect()
+    assert sum(r.kept for r in rows) == 31 and max(r.group_size for r in rows) == 30
+
+
 def test_repeated_rows_keep_one(spark, docs):
     frame = docs(["a", "b"]).unionByName(docs(["a"])).withColumn("digest", F.lit(1))
     own = index(spark)
@@ -179,6 +218,33 @@ def test_shards_of_odd_tables(docs, spark):
     assert {(r.shard, r.slot) for r in none} == {(0, 0), (0, 1)}
 
 
+def test_ranges_are_bounded_in_rows_too(docs, monkeypatch):
+    """Many tiny rows among few large ones: no task sorts more than its share."""
+    texts = [""] * 2000 + ["t%d" % i for i in range(2000)] + ["x" * 200_000 + str(i) for i in range(8)]
+    largest = []
+    plain = sharding._histogram
+
+    def seen(*args):
+        found = plain(*args)
+        largest.append(max((r[1] for r in found.values()), default=0))
+        return found
+
+    monkeypatch.setattr(sharding, "_histogram", seen)
+    rows = sharded(docs(texts, partitions=4), range_rows=100).collect()
+    assert largest[-1] <= 200
+    assert len(rows) == 4008
+    for s in range(5):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+    few = sharded(docs(texts, partitions=4), range_rows=100, tolerance=0.1)
+    assert few.where("shard IS NULL").isEmpty()
+
+
+def test_many_boundaries_share_the_probes(docs, monkeypatch):
+    monkeypatch.setattr(sharding, "POINTS", 8)
+    rows = sharded(docs([prose(i, 5 + i % 60) for i in range(300)])).collect()
+    check_shards(rows, 5, 0.02 * sum(r["size"] for r in rows) + max(r["size"] for r in rows))
+
+
 def test_places_by_two_level_points():
     points = [(3, sharding.LEAST), (5, -2), (5, 4), (9, sharding.LEAST)]
     keys, rows = np.array([1, 3, 5, 5, 5, 5, 8, 9]), np.array([0, -9, -3, -2, 3, 4, 0, -5])
@@ -233,6 +299,40 @@ def test_no_python_in_the_plan(spark):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
 
 
+def test_a_sample_of_few_hot_urls_has_both_classes(spark):
+    urls = ["http://a.org/x"] * 700 + ["http://b.com/de/y"] * 300
+    frame = pages(spark, urls + ["http://unruled.net/"])
+    model = url_filter.fit(frame, training_urls=2)
+    assert model.trees is not None and model.block_rate == pytest.approx(0.3)
+    assert {r.verdict for r in url_filter.judge(frame, model).collect()} == {"allow", "block"}
+    for one in (urls[:700], urls[700:], ["http://unruled.net/"]):
+        alone = pages(spark, one)
+        assert url_filter.fit(alone).trees is None
+        assert url_filter.judge(alone, url_filter.fit(alone)).count() == len(one)
+
+
+def test_the_sample_is_bounded_and_weighs_copies(spark):
+    urls = [f"http://a.org/{i}" for i in range(400)] + [f"http://b.com/de/{i % 100}" for i in range(300)]
+    labelled = pages(spark, urls).withColumn("label", F.col("url").contains("/de/").cast("double"))
+    work = Scratch(spark, "sample")
+    rows = url_filter._sampled(labelled, 50, work).collect()
+    assert len(rows) == len({r.url for r in rows}) == 50
+    assert sum(r.label for r in rows) == 10 and {r.copies for r in rows if r.label} == {3.0}
+    everything = url_filter._sampled(labelled, 10_000, Scratch(spark, "sample")).collect()
+    assert len(everything) == 500 and sum(r.copies for r in everything) == 700
+
+
+def test_trees_tell_held_out_urls_apart(spark):
+    """Of the urls that rules label, those with crc32 mod 5 = 0 are not learned from."""
+    given = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    held = F.crc32("url") % 5 == 0
+    model = url_filter.fit(given.where(~held))
+    rows = url_filter.judge(given.where(held), model).where("rule IS NOT NULL").collect()
+    right = sum((r.block_score >= 0.5) == (r.verdict == "block") for r in rows)
+    print(f"held out: {right} of {len(rows)} right")
+    assert len(rows) >= 100 and right >= 0.9 * len(rows)
+
+
 def test_no_pages(spark):
     empty = pages(spark, URLS).limit(0)
     assert url_filter.judge(empty, url_filter.fit(empty)).collect() == []
@@ -272,6 +372,43 @@ def test_components_equal_all_pairs(docs, monkeypatch, block):
         assert (r.n_shingles, r.component_id, r.kept) == (sizes[i], want, want == ids[i]), i
 
 
+def test_words_that_defeat_plain_polynomials_are_not_linked(docs):
+    """Thue-Morse words of 1,024 letters collide modulo 2^64 for every odd base."""
+    one, other = "a", "b"
+    for _ in range(10):
+        one, other = one + other, other + one
+    texts = [one, other, f"{prose(1, 30, ends=False)} {one}", f"{prose(1, 30, ends=False)} {other}", prose(1, 30)]
+    rows = by_id(minhash.near_duplicates(docs(texts)))
+    roots, sizes = brute.near_components(texts)
+    assert [(rows[i][0].component_id, rows[i][0].n_shingles) for i in range(len(texts))] == list(zip(roots, sizes))
+    assert rows[1][0].kept
+
+
+@pytest.mark.parametrize("block", [4, 7])
+def test_a_large_group_in_blocks_beside_its_pivot(docs, monkeypatch, block):
+    """Members that reach the pivot only through members of other blocks."""
+    monkeypatch.setattr(minhash, "BLOCK_SETS", block)
+    origin = prose("origin", 200, ends=False).split()
+    texts = []
+    for i in range(60):
+        words = list(origin)
+        for k in range(i // 2):  # further and further away from the first
+            words[3 * k] = f"new{k}"
+        words.append(f"own{i}")
+        texts.append(" ".join(words))
+    texts += [prose("far", 150) + f" {i}" for i in range(9)]
+    rows = by_id(minhash.near_duplicates(docs(texts, partitions=5)))
+    roots, _ = brute.near_components(texts)
+    assert [rows[i][0].component_id for i in range(len(texts))] == roots
+
+
+def test_a_very_long_text_beside_short_ones(docs):
+    long = " ".join(prose(f"part {i}", 100) for i in range(300))
+    texts = [long, long + " tail", prose(3), "short"]
+    rows = by_id(minhash.near_duplicates(docs(texts)))
+    assert [rows[i][0].component_id for i in range(4)] == [0, 0, 2, 3]
+
+
 def test_near_duplicates_of_odd_tables(docs):
     assert minhash.near_duplicates(docs([])).collect() == []
     frame = docs([prose(1), prose(2), None], ids=[5, 5, None])
@@ -360,7 +497,7 @@ def test_components_of_chains_stars_and_rings(spark):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name.split("_")[0][2:]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -376,7 +513,9 @@ def test_queries_equal_their_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_queries_return_whole_tables(spark, name):
-    table, key = ("pages", "page_id") if name.startswith("op7_") else ("documents", "doc_id")
+    table, key = {"op7": ("pages", "page_id"), "op11": ("embeddings", "vec_id")}.get(
+        name.split("_")[0], ("documents", "doc_id")
+    )
     want = spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).distinct().count()
     assert QUERIES[name](spark, SF_DIR).select(key).distinct().count() == want
 
@@ -390,13 +529,14 @@ def test_held_out_rows_are_a_fifth(spark):
 
 
 def test_held_out_accuracy(spark):
-    """A seventh of the toxic rows there share no n-gram with the other toxic ones."""
+    """Part of the toxic rows there have nothing in their text that sets them apart
+    (README); more n-grams than the best thousand find fewer of them."""
     scored = QUERIES["op8_toxicity"](spark, "/root/testdata/sf0.1").where("held_out")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rows = scored.join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()
     counts = {(r.toxic, r.predicted): r["count"] for r in rows}
-    assert counts[1, 1] >= 0.75 * (counts[1, 1] + counts.get((1, 0), 0))
-    assert counts.get((0, 1), 0) <= 0.02 * counts[0, 0]
+    assert counts[1, 1] >= 0.85 * (counts[1, 1] + counts.get((1, 0), 0))
+    assert counts.get((0, 1), 0) < 0.01 * (counts[0, 0] + counts.get((0, 1), 0))
 
 
 def test_pipeline_stages_take_effect(spark, docs, tmp_path):
@@ -432,7 +572,14 @@ def test_pipeline_stages_take_effect(spark, docs, tmp_path):
 
 
 def test_pipeline_equals_its_stages(spark):
+    from pathlib import Path
+
+    from weekcast.session import shared_dir
+
+    before = set(Path(shared_dir(spark)).iterdir())
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = [p.name.split("-")[0] for p in set(Path(shared_dir(spark)).iterdir()) - before]
+    assert left == ["secrets"]  # what the last stage reads
     assert rows.count() > 0 and packing.PIECES.split(", ")[0] == "doc_id long"
     whole = rows.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("tokens"))
     assert whole.where("n <> tokens").isEmpty()

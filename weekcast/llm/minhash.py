@@ -11,8 +11,10 @@ the pivot, and sets are brought together with their pivots, each set once for
 all buckets that have this pivot.  Inside such a bin an inverted index counts
 the exact overlap of all sets that can still reach the threshold and reports
 only links that join something new.  A bin larger than one task should hold is
-cut into blocks, and every two blocks meet in a task of their own; so no pair
-of a bin is missed, none is ever a row, and no task grows with a group.
+cut into blocks that have the pivot each, which takes as many rows as there are
+members; only members that their block doesn't join to the pivot meet the other
+blocks as well.  So no link between components is missed, pairs are never rows,
+and no task grows with a group.
 
 Sets that are equal are one set from the start, so that a text that makes up a
 third of all rows is compared once.
@@ -32,6 +34,7 @@ from ..session import Scratch, scratch
 from .common import DOC_ID, map_batches, slices, whole_texts
 from .components import components
 from .exact_dedup import digest
+from .rolling import RunHashes
 from .shingles import WORDS, CirculantMinHash, band_keys, shingle_set
 
 BANDS, ROWS = 96, 6
@@ -54,13 +57,13 @@ def describe(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
     """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashing = CirculantMinHash(bands * rows)
+        hashing, runs = CirculantMinHash(bands * rows), RunHashes()
         seen: set[bytes | None] = {None}
         for batch in batches:
             for part in slices(batch):
                 hashes, sizes, keys = [], [], []
                 for text in part[1].to_pylist():
-                    shingles = shingle_set(text, words)
+                    shingles = shingle_set(text, words, runs)
                     own = _set_hash(shingles)
                     hashes.append(own)
                     sizes.append(len(shingles))
@@ -144,9 +147,12 @@ def near_links(docs: DataFrame, described: DataFrame, work: Scratch, words: int
     )
     # Rows of equal sets are told apart here only by the task they come from.
     keyed = hashed.where("bands IS NOT NULL").select("row", F.explode("bands").alias("band"))
-    inside = Window.partitionBy("band").orderBy("row")
-    starred = keyed.withColumn("pivot", F.first("row").over(inside)).where("pivot <> row")
-    stars = work.keep(starred.select("row", "pivot").distinct())
+    # Written, so that the join with it is dealt out anew and a hot band is split.
+    pivots = work.keep(
+        keyed.groupBy("band").agg(F.min("row").alias("pivot"), F.max("row").alias("last"))
+        .where("pivot < last").select("band", "pivot")
+    )
+    stars = work.keep(keyed.join(pivots, "band").where("pivot <> row").select("row", "pivot").distinct())
     of_set = work.keep(
         hashed.where("bands IS NOT NULL").select("row", "set_hash")
         .join(firsts.select("set_hash", F.col("row").alias("first")), "set_hash")
@@ -157,39 +163,84 @@ def near_links(docs: DataFrame, described: DataFrame, work: Scratch, words: int
         .join(of_set.withColumnRenamed("row", "pivot"), "pivot")
         .select(F.col("first").alias("pivot"), "row").where("pivot <> row").distinct()
     )
-    members = bins.unionByName(bins.select("pivot", F.col("pivot").alias("row")).distinct())
-    wanted = members.select("row").distinct().join(firsts, "row")
-    sets = work.keep(_sets(docs, wanted, words))
-    placed = members.join(sets.select("row", "n_shingles"), "row")
+    wanted = bins.select("row").unionByName(bins.select(F.col("pivot").alias("row"))).distinct()
+    sets = work.keep(_sets(docs, wanted.join(firsts, "row"), words))
     # Written, so that the join with it is dealt out anew and a hot pivot is split.
-    parts = placed.groupBy("pivot").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-        ).cast("int").alias("parts")
+    parts = work.keep(
+        bins.join(sets.select("row", "n_shingles"), "row").groupBy("pivot").agg(
+            F.greatest(
+                F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+            ).cast("int").alias("parts")
+        )
+    )
+    block = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("block")
+    placed = work.keep(bins.join(parts, "pivot").select("pivot", "row", block, "parts"))
+
+    # Every block of a bin with the pivot: as much work as there are members.
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block")
+    with_pivot = placed.select("pivot", "block", "row").unionByName(
+        parts.select("pivot", every, F.col("pivot").alias("row"))
     )
-    parts = work.keep(parts)
-    block = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
-    blocks = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
-        F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: k != F.col("block"))
+    first = work.keep(_confirmed(with_pivot.withColumn("guests", F.lit(0)), sets, percent))
+    links = first.where("right IS NOT NULL").select("left", "right")
+    if parts.where("parts > 1").isEmpty():
+        return links
+
+    # Members that their block doesn't join to the pivot meet the other blocks too.
+    alone = first.where("right IS NULL").join(parts.where("parts > 1"), "pivot").select(
+        "pivot", F.col("left").alias("row"), "parts"
     )
-    met = (
-        members.join(parts, "pivot").withColumn("block", block)
-        .withColumn("with", F.explode(blocks))
-        .select("pivot", "row", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
-        .join(sets, "row")
+    alone = work.keep(alone)
+    shares = work.keep(
+        alone.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("shares"))
     )
+    guest = alone.join(shares, "pivot").select(
+        "pivot", "row", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("own"),
+        F.pmod(F.xxhash64("row", F.lit(1)), F.col("shares")).cast("int").alias("guests"), "parts",
+    )
+    guest = guest.select("pivot", every, "row", "guests", "own").where("block <> own").drop("own")
+    host = placed.join(shares, "pivot").select(
+        "pivot", "block", "row", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("guests")
+    )
+    rest = _confirmed(host.unionByName(guest), sets, percent)
+    return links.unionByName(rest.where("right IS NOT NULL").select("left", "right"))
+
+
+def _joined_to(pivot: int, rows: np.ndarray, found: list[tuple]) -> set[int]:
+    """The rows that links join to the pivot."""
+    near: dict[int, list[int]] = {}
+    for a, b in found:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    seen, open_ = {pivot}, [pivot]
+    while open_:
+        for other in near.get(open_.pop(), []):
+            if other not in seen:
+                seen.add(other)
+                open_.append(other)
+    return seen
+
+
+def _confirmed(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pivot, left, right`` of the links among the rows of each block and its
+    guests; members not joined to the pivot there have themselves as ``left``
+    and no ``right``."""
 
     def confirm(table: pa.Table) -> pa.Table:
         lists = table["shingles"].combine_chunks()
         ends = lists.offsets.to_numpy()
         values = lists.values.to_numpy()[ends[0] : ends[-1]]
-        found = links_within(table["row"].to_numpy(), ends - ends[0], values, percent)
-        columns = list(zip(*found)) or [(), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["left", "right"])
+        rows, pivot = table["row"].to_numpy(), table["pivot"][0].as_py()
+        found = links_within(rows, ends - ends[0], values, percent)
+        joined = _joined_to(pivot, rows, found)
+        pairs = [*found, *[(row, None) for row in rows.tolist() if row not in joined]]
+        columns = list(zip(*pairs)) or [(), ()]
+        return pa.table([pa.array([pivot] * len(pairs), pa.int64()), *[pa.array(c, pa.int64()) for c in columns]],
+                        names=["pivot", "left", "right"])
 
-    return met.select("pivot", "one", "two", "row", "shingles").groupBy("pivot", "one", "two").applyInArrow(
-        confirm, "left long, right long"
-    )
+    rows = met.join(sets, "row").select("pivot", "block", "guests", "row", "shingles")
+    schema = "pivot long, left long, right long"
+    return rows.groupBy("pivot", "block", "guests").applyInArrow(confirm, schema)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -202,6 +253,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # of repeated rows a task gives one
+        runs = RunHashes()
         for batch in batches:
             for part in slices(batch):
                 rows, found = [], []
@@ -209,7 +261,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     if row not in seen:
                         seen.add(row)
                         rows.append(row)
-                        found.append(shingle_set(text, words).view(np.int64))
+                        found.append(shingle_set(text, words, runs).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows, pa.int64()), pa.array([len(s) for s in found], pa.int64()),
                      pa.array(found, pa.list_(pa.int64()))],

@@ -115,7 +115,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_r
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
-def quality(boilerplate: tuple[str, ...]) -> str:
+def quality(boilerplate: tuple[str, ...], furniture_words: int) -> str:
     phrases = " OR ".join(f"contains(lower(line), '{phrase}')" for phrase in boilerplate)
     bars = r"['|', '»', '«', '›', '‹', '·', '•', '>', '/', '\', '::', '->']"
     decorated = r"([#*$%&<>|~^=_]{2,}|!{2,}|\?{2,})[.,;:]?$"
@@ -136,7 +136,7 @@ l AS (
 ),
 f AS (
   SELECT doc_id, line, len(lw) AS size,
-         {phrases} OR (bars >= 3 AND len(lw) - bars <= 4 * (bars + 1))
+         (len(lw) <= {furniture_words} AND ({phrases})) OR (bars >= 3 AND len(lw) - bars <= 4 * (bars + 1))
          OR len(list_filter(lw, lambda x: regexp_matches(x, '{decorated}'))) > 0.5 * len(lw)
          OR (len(lw) >= 10 AND NOT regexp_matches(line, '{sentence}')) AS fails
   FROM (SELECT *, len(list_filter(lw, lambda x: list_contains({bars}, x))) AS bars FROM l WHERE len(lw) > 0)

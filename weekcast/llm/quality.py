@@ -6,7 +6,7 @@ that loses more than half of its words with them is rejected.  A line fails
 * punctuation: it has ten words or more and no sentence end anywhere, or the
   shouted or decorated kind of punctuation in every other word;
 * navigation: it is a row of menu entries, words between bars, arrows or dots;
-* boilerplate: it holds a phrase of page furniture.
+* boilerplate: it is short and holds a phrase of page furniture.
 
 A legal notice or a menu on top of a good text costs that line and not the
 text.  The base rules of the corpus contract are counted in the same pass.
@@ -33,7 +33,9 @@ MAX_DECORATED_SHARE = 0.5
 MIN_MENU_BARS = 3
 MAX_WORDS_PER_BAR = 4
 
-# Phrases of page furniture, compared in lower case.
+FURNITURE_WORDS = 20  # a longer line that names the privacy policy is about something
+
+# Phrases of page furniture in four languages, compared in lower case.
 BOILERPLATE = (
     "all rights reserved",
     "accept cookies",
@@ -49,6 +51,18 @@ BOILERPLATE = (
     "terms of service",
     "terms of use",
     "use cookies",
+    "todos los derechos reservados",
+    "aceptar cookies",
+    "política de privacidad",
+    "términos de uso",
+    "tous droits réservés",
+    "accepter les cookies",
+    "politique de confidentialité",
+    "mentions légales",
+    "alle rechte vorbehalten",
+    "cookies akzeptieren",
+    "datenschutzerklärung",
+    "nutzungsbedingungen",
 )
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -67,9 +81,10 @@ def failed_rule(line: str) -> str | None:
     words = _WORD.findall(line)
     if not words:
         return None
-    lowered = line.lower()
-    if any(phrase in lowered for phrase in BOILERPLATE):
-        return "boilerplate"
+    if len(words) <= FURNITURE_WORDS:
+        lowered = line.lower()
+        if any(phrase in lowered for phrase in BOILERPLATE):
+            return "boilerplate"
     bars = sum(1 for word in words if word in _BARS)
     if bars >= MIN_MENU_BARS and len(words) - bars <= MAX_WORDS_PER_BAR * (bars + 1):
         return "navigation"

@@ -2,12 +2,17 @@
 
 The base rules of the corpus contract find credentials by their surroundings or
 by a fixed form and thereby label them.  From a bounded sample of each kind a
-prefix tree is built and its statistically compatible states are merged into a
-probabilistic automaton.  A further automaton is learned from strings of the
-corpus that no rule calls a credential.  Every long run of credential
-characters is then scored by how much likelier it is, per character, under a
-kind's automaton than under that of ordinary strings, and a run that passes the
-threshold is reported as ``format``.  It never replaces or overlaps a base span.
+prefix tree is built, and states of equal depth that are statistically
+compatible are merged into a probabilistic automaton.  As only states of one
+depth meet, the automaton keeps at which place a format has which characters
+and where it ends.  Further automata are learned from strings of the corpus that
+no rule calls a credential, short and long ones.
+
+Every run of credential characters outside the base spans is a candidate: as it
+stands, what follows a ``=`` in it, and both without the punctuation around
+them.  It is scored by how much likelier it is under a kind's automaton than
+under those of ordinary strings, and one that passes the threshold is reported
+as ``format``.  It never replaces or overlaps a base span.
 """
 
 from __future__ import annotations
@@ -37,13 +42,22 @@ MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
 MIN_RUN = 16
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_RUN)
+_ANY_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_ASSIGNED)
+_DIGIT = re.compile(r"[0-9]")
+_PUNCTUATION = "+/_.=-"
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 
 SAMPLE_PER_KIND = 400  # labelled strings of a kind that its automaton is learned from
+LEARNED = 256  # characters of a string that are learned from; the driver gets no more
 COMPATIBLE = 0.05  # significance of the test for merging two states
-THRESHOLD = 0.75  # natural-log units per character
-ORDINARY = "ordinary"
+THRESHOLD = 0.25  # natural-log units per character
+EVIDENCE = 6.0  # and for the whole candidate, so that a short one needs more per character
+OWN_CHARACTERS = 64.0  # visits from which a state's characters count more than their classes
+SHARED = 2.0  # visits that the whole kind's shares count for in every state
+ORDINARY = ("ordinary", "word", "number")  # by ordinary_kind
+SHORTEST = {"assign": MIN_ASSIGNED, "access": MIN_ACCESS, "hex": MIN_HEX}
+KEPT_VERDICTS = 200_000
 
 Span = tuple[str, int, int]
 
@@ -84,18 +98,39 @@ def credential(text: str, span: Span) -> str:
     return _ASSIGN.match(text, start)[2] if kind == "assign" else text[start:end]
 
 
-def outside(text: str, spans: Iterable[Span]) -> list[tuple[int, str]]:
-    """Long runs that no base span touches."""
+def outside(text: str, spans: Iterable[Span], least: int = MIN_ASSIGNED) -> list[tuple[int, str]]:
+    """Runs of credential characters outside the base spans, also the parts of
+    runs that a span covers in part, of ``least`` characters or more."""
     taken = sorted((start, end) for _, start, end in spans)
     free, k = [], 0
-    for at, run in _runs(text):
+    for m in _ANY_RUN.finditer(text):
+        at, stop = m.span()
         while k < len(taken) and taken[k][1] <= at:
             k += 1
-        if k == len(taken) or taken[k][0] >= at + len(run):
-            free.append((at, run))
+        n = k
+        while n < len(taken) and taken[n][0] < stop:
+            if taken[n][0] - at >= least:
+                free.append((at, text[at : taken[n][0]]))
+            at = max(at, taken[n][1])
+            n += 1
+        if stop - at >= least:
+            free.append((at, text[at:stop]))
     return free
 
 
+def candidates(run: str) -> Iterator[tuple[int, str]]:
+    """A run and what it may hold: start within it, string."""
+    forms = [(0, run)]
+    after = run.rstrip("=").rfind("=") + 1
+    if after:
+        forms.append((after, run[after:]))
+    for at, form in forms:
+        yield at, form
+        bare = form.strip(_PUNCTUATION)
+        if bare != form:
+            yield at + form.index(bare), bare
+
+
 # --- automata --------------------------------------------------------------------
 
 
@@ -114,8 +149,14 @@ _SYMBOLS = len({symbol for symbol, _ in _CLASS.values()})
 class State:
     visits: int = 0
     ends: int = 0
-    moves: dict[str, "State"] = field(default_factory=dict)
-    passed: dict[str, int] = field(default_factory=dict)
+    moves: dict[str, "State"] = field(default_factory=dict)  # by class
+    passed: dict[str, int] = field(default_factory=dict)  # strings that went on, by class
+    chars: dict[str, int] = field(default_factory=dict)  # and by character
+
+
+def _add(counts: dict[str, int], more: dict[str, int]) -> None:
+    for key, times in more.items():
+        counts[key] = counts.get(key, 0) + times
 
 
 def prefix_tree(strings: Iterable[str]) -> State:
@@ -123,12 +164,13 @@ def prefix_tree(strings: Iterable[str]) -> State:
     for string in strings:
         here = root
         here.visits += 1
-        for char in string:
+        for char in string[:LEARNED]:
             symbol = _CLASS[char][0]
-            here.passed[symbol] = here.passed.get(symbol, 0) + 1
+            _add(here.passed, {symbol: 1})
+            _add(here.chars, {char: 1})
             here = here.moves.setdefault(symbol, State())
             here.visits += 1
-        here.ends += 1
+        here.ends += len(string) <= LEARNED
     return root
 
 
@@ -159,8 +201,8 @@ def _fold(into: State, tree: State) -> None:
         a, b = open_pairs.pop()
         a.visits += b.visits
         a.ends += b.ends
-        for symbol, times in b.passed.items():
-            a.passed[symbol] = a.passed.get(symbol, 0) + times
+        _add(a.passed, b.passed)
+        _add(a.chars, b.chars)
         for symbol, child in b.moves.items():
             if symbol in a.moves:
                 open_pairs.append((a.moves[symbol], child))
@@ -168,87 +210,122 @@ def _fold(into: State, tree: State) -> None:
                 a.moves[symbol] = child
 
 
-def merged(root: State) -> State:
-    """Red states are settled; the most visited state next to them is merged
-    into the first compatible one or becomes red itself."""
-    red = [root]
+def merged(root: State) -> list[list[State]]:
+    """The states of every depth.  Depth by depth, the most visited state first,
+    each is merged into the first compatible one that is settled, or is settled
+    itself."""
+    layers = [[root]]
     while True:
-        settled = {id(state) for state in red}
-        blue = [
-            (state.moves[symbol].visits, place, symbol)
-            for place, state in enumerate(red)
-            for symbol in state.moves
-            if id(state.moves[symbol]) not in settled
-        ]
-        if not blue:
-            return root
-        _, place, symbol = max(blue, key=lambda x: (x[0], -x[1], x[2]))
-        candidate = red[place].moves[symbol]
-        for state in red:
-            if _compatible(state, candidate):
-                red[place].moves[symbol] = state
-                _fold(state, candidate)
-                break
-        else:
-            red.append(candidate)
+        above, settled = layers[-1], []
+        below = [(child.visits, -n, symbol) for n, state in enumerate(above) for symbol, child in state.moves.items()]
+        for _, place, symbol in sorted(below, reverse=True):
+            state = above[-place]
+            child = state.moves[symbol]
+            for other in settled:
+                if _compatible(other, child):
+                    state.moves[symbol] = other
+                    _fold(other, child)
+                    break
+            else:
+                settled.append(child)
+        if not settled:
+            return layers
+        layers.append(settled)
 
 
-Automaton = list[dict[str, tuple[float, int]]]
+@dataclass(frozen=True)
+class Automaton:
+    """Per state: character -> log-probability and next state.  Every character
+    is possible; what a state hasn't seen leads to the busiest state of the next
+    depth, and beyond the last depth a state without memory goes on."""
 
+    moves: list[dict[str, tuple[float, int]]]
+    ends: list[float]
 
-def automaton(strings: Iterable[str]) -> Automaton:
-    """Per state: symbol -> log-probability of one of its characters, next state.
+    def likelihood(self, string: str) -> float:
+        at, total, moves = 0, 0.0, self.moves
+        for char in string:
+            logp, at = moves[at][char]
+            total += logp
+        return total + self.ends[at]
 
-    Unseen symbols share one added count and lead to the start; the key
-    ``""`` holds the log-probability of ending.
-    """
-    root = merged(prefix_tree(strings))
-    states, number = [root], {id(root): 0}
-    for state in states:
-        for child in state.moves.values():
-            if id(child) not in number:
-                number[id(child)] = len(states)
-                states.append(child)
-    table: Automaton = []
-    sizes = dict(_CLASS.values())
-    for state in states:
-        total = state.visits + 1.0
-        unseen = 1.0 / (_SYMBOLS + 1)
-        row = {"": (math.log((state.ends + unseen) / total), 0)}
-        for symbol, size in sizes.items():
-            seen = state.passed.get(symbol, 0)
-            after = number[id(state.moves[symbol])] if symbol in state.moves else 0
-            row[symbol] = (math.log((seen + unseen) / total / size), after)
-        table.append(row)
-    return table
-
-
-def likelihood(table: Automaton, string: str) -> float:
-    at, total = 0, 0.0
-    for char in string:
-        logp, at = table[at][_CLASS[char][0]]
-        total += logp
-    return total + table[at][""][0]
+
+def automaton(strings: Iterable[str]) -> Automaton:
+    """States have the shares of their own characters, as far as they have been
+    visited, then those of the characters' classes, then those of all strings."""
+    layers = merged(prefix_tree(strings))
+    number = {id(state): n for n, state in enumerate(s for layer in layers for s in layer)}
+    beyond = len(number)
+    every = [state for layer in layers for state in layer]
+    total = sum(s.visits for s in every)
+    shares = {symbol: (sum(s.passed.get(symbol, 0) for s in every) + 1.0) / (total + _SYMBOLS + 1)
+              for symbol in {symbol for symbol, _ in _CLASS.values()}}
+    end = (sum(s.ends for s in every) + 1.0) / (total + _SYMBOLS + 1)
+    moves, ends = [], []
+    for depth, layer in enumerate(layers):
+        next_layer = layers[depth + 1] if depth + 1 < len(layers) else []
+        busiest = number[id(max(next_layer, key=lambda s: s.visits))] if next_layer else beyond
+        for state in layer:
+            known = state.visits + SHARED
+            row = {}
+            for char, (symbol, size) in _CLASS.items():
+                of_class = (state.passed.get(symbol, 0) + SHARED * shares[symbol]) / known / size
+                seen = state.chars.get(char, 0) + OWN_CHARACTERS * of_class
+                after = number[id(state.moves[symbol])] if symbol in state.moves else busiest
+                row[char] = (math.log(seen / (state.visits + OWN_CHARACTERS)), after)
+            stops = (state.ends + SHARED * end) / known
+            moves.append(row)
+            ends.append(math.log((state.ends + OWN_CHARACTERS * stops) / (state.visits + OWN_CHARACTERS)))
+    moves.append({char: (math.log(shares[symbol] / size), beyond) for char, (symbol, size) in _CLASS.items()})
+    return Automaton(moves, [*ends, math.log(end)])
 
 
 @dataclass(frozen=True)
 class SecretModel:
-    """One automaton per kind that had labelled strings, and the ordinary one."""
+    """One automaton per kind that had labelled strings, and the ordinary ones."""
 
     kinds: dict[str, Automaton]
-    ordinary: Automaton
+    ordinary: list[Automaton]
     threshold: float = THRESHOLD
-
-    def is_secret(self, run: str) -> bool:
-        plain = likelihood(self.ordinary, run)
-        gain = max((likelihood(t, run) - plain for t in self.kinds.values()), default=-math.inf)
-        return gain > self.threshold * len(run)
+    verdicts: dict[str, bool] = field(default_factory=dict, repr=False, compare=False)
+
+    @property
+    def least(self) -> int:
+        """The shortest credential that a labelled kind can be."""
+        return min(SHORTEST[kind] for kind in self.kinds)
+
+    def gain(self, string: str) -> float:
+        """How much likelier as a credential than as anything else."""
+        plain = max((a.likelihood(string) for a in self.ordinary), default=-math.inf)
+        return max((a.likelihood(string) for a in self.kinds.values()), default=-math.inf) - plain
+
+    def is_secret(self, string: str) -> bool:
+        found = self.verdicts.get(string)
+        if found is None:
+            if len(self.verdicts) >= KEPT_VERDICTS:
+                self.verdicts.clear()
+            found = self.gain(string) > max(EVIDENCE, self.threshold * len(string))
+            self.verdicts[string] = found
+        return found
 
     def extra_spans(self, text: str, base: list[Span]) -> list[Span]:
         if not self.kinds:
             return []
-        free = outside(text, base)
-        return [(FORMAT, at, at + len(run)) for at, run in free if self.is_secret(run)]
+        least, spans = self.least, []
+        for at, run in outside(text, base, least):
+            found = [c for c in candidates(run) if len(c[1]) >= least and self.is_secret(c[1])]
+            if found:
+                best = max(found, key=lambda c: self.gain(c[1]) / len(c[1]))
+                spans.append((FORMAT, at + best[0], at + best[0] + len(best[1])))
+        return spans
+
+
+def ordinary_kind(run: str) -> str:
+    """Runs with a digit are learned for themselves, and so are short ones, or a
+    bounded sample would hold hardly any of the rarer sort."""
+    if _DIGIT.search(run):
+        return "number"
+    return "word" if len(run) < MIN_RUN else "ordinary"
 
 
 def _place(kind: str, value: str) -> int:
@@ -262,10 +339,11 @@ def labelled_strings(docs: DataFrame, per_kind: int = SAMPLE_PER_KIND) -> DataFr
     first by hash, over all documents.  A task sends no more than that."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: dict[str, list[tuple[int, str]]] = {kind: [] for kind in (*KINDS, ORDINARY)}
+        first: dict[str, list[tuple[int, str]]] = {kind: [] for kind in (*KINDS, *ORDINARY)}
         held: dict[str, set[str]] = {kind: set() for kind in first}
 
         def offer(kind: str, value: str) -> None:
+            value = value[: LEARNED + 1]  # one more tells that it goes on
             heap = first[kind]
             if value in held[kind]:
                 return
@@ -285,7 +363,7 @@ def labelled_strings(docs: DataFrame, per_kind: int = SAMPLE_PER_KIND) -> DataFr
                     for span in base:
                         offer(span[0], credential(text, span))
                     for _, run in outside(text, base):
-                        offer(ORDINARY, run)
+                        offer(ordinary_kind(run), run)
         rows = [(kind, value, -place) for kind, heap in first.items() for place, value in heap]
         if rows:
             yield pa.RecordBatch.from_arrays(
@@ -303,12 +381,13 @@ def labelled_strings(docs: DataFrame, per_kind: int = SAMPLE_PER_KIND) -> DataFr
 
 
 def fit(docs: DataFrame, per_kind: int = SAMPLE_PER_KIND) -> SecretModel:
-    """At most four times ``per_kind`` strings reach the driver."""
+    """At most six times ``per_kind`` strings, of ``LEARNED`` characters and
+    one, reach the driver."""
     strings: dict[str, list[str]] = {}
     for row in labelled_strings(docs, per_kind).orderBy("kind", "value").collect():
         strings.setdefault(row.kind, []).append(row.value)
     kinds = {kind: automaton(strings[kind]) for kind in KINDS if kind in strings}
-    return SecretModel(kinds, automaton(strings.get(ORDINARY, [])))
+    return SecretModel(kinds, [automaton(strings[kind]) for kind in ORDINARY if kind in strings])
 
 
 # --- operators ---------------------------------------------------------------------

@@ -11,11 +11,13 @@ A boundary is put between two keys where that meets the tolerance.  Only a
 group too large for it (one text that makes up a third of all rows) is cut
 inside, by a hash of the row number.  Nothing but probes and their sums reaches
 the driver, and no task ever holds a whole shard: a shard of many rows consists
-of several ranges whose sizes are found in the same way.
+of several ranges, and boundaries between them are found in the same way, by
+rows below instead of bytes.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +31,8 @@ from .common import map_batches
 
 TOLERANCE = 0.005  # of a shard's size
 RANGE_ROWS = 500_000  # rows that one task sorts
-PROBES = 24  # per boundary and round
+PROBES = 24  # per boundary and round, fewer where there are many boundaries
+POINTS = 50_000  # probes of all boundaries together
 LEAST = -(1 << 63)
 
 KEY, ROW, SIZE, RANGE = "_shard_key", "_shard_row", "_shard_size", "_shard_range"
@@ -108,7 +111,8 @@ def splitters(table: DataFrame, targets: list[int], tolerances: list[int]) -> li
     end: Point = ((1 << 63) - 1, (1 << 63) - 1)
     while open_targets:
         stretches = sorted(set(open_targets.values()), key=lambda s: s.low)
-        probed = {s: s.probes() for s in stretches}
+        each = max(2, min(PROBES, POINTS // len(stretches)))
+        probed = {s: s.probes(each) for s in stretches}
         points = sorted({p for s in stretches for p in (s.low, *probed[s], _after(s.last))})
         number = {p: n + 1 for n, p in enumerate(points)}
         wanted = [number[p] for s in stretches for p in (s.low, *probed[s])]
@@ -138,6 +142,29 @@ def splitters(table: DataFrame, targets: list[int], tolerances: list[int]) -> li
     return [min(found[n], end) for n in range(len(targets))]
 
 
+def _with_ranges(table: DataFrame, edges: list[Point], counted: dict, range_rows: int) -> list[Point]:
+    """The edges of shards and, in shards of more than ``range_rows`` rows,
+    boundaries that cut them into ranges of about equal rows."""
+    targets, slack, below = [], [], 0
+    for shard_number in range(len(edges) + 1):
+        rows = counted[shard_number][1] if shard_number in counted else 0
+        parts = max(1, -(-rows // range_rows))
+        targets += [below + rows * n // parts for n in range(1, parts)]
+        slack += [max(0, rows // parts // 4)] * (parts - 1)
+        below += rows
+    if not targets:
+        return edges
+    one = table.withColumn(SIZE, F.lit(1).cast("long"))
+    return sorted([*edges, *(set(splitters(one, targets, slack)) - set(edges))])
+
+
+def _shards_of(edges: list[Point], points: list[Point]) -> list[int]:
+    """The shard of every range between ``points``.  Shards that are cut at one
+    place are empty but the last."""
+    edges = sorted(edges)
+    return [bisect_right(edges, low) for low in [(LEAST, LEAST), *points]]
+
+
 def _after(point: Point) -> Point:
     top = (1 << 63) - 1
     return (point[0], point[1] + 1) if point[1] < top else (min(point[0] + 1, top), LEAST)
@@ -173,20 +200,18 @@ def shard(
         ).withColumn(ROW, number)
     )
     total, count = table.agg(F.sum(SIZE), F.count(F.lit(1))).first()
-    parts = max(1, -(-count // (shards * range_rows)))
-    points: list[Point] = []
+    edges: list[Point] = []
     if total:
-        ranges = shards * parts
-        targets = [total * n // ranges for n in range(1, ranges)]
-        tight, loose = int(total / shards * tolerance), int(total / ranges / 4)
-        points = splitters(
-            table, targets, [loose if n % parts else tight for n in range(1, ranges)]
-        )
-    counted = _histogram(table, points) if count else {}
-    before, seen = [], 0
-    for n in range(len(points) + 1):
-        seen = 0 if n % parts == 0 else seen
-        before.append((n, n // parts, seen))
+        tight = int(total / shards * tolerance)
+        edges = splitters(table, [total * n // shards for n in range(1, shards)], [tight] * (shards - 1))
+    counted = _histogram(table, edges) if count else {}
+    points = _with_ranges(table, edges, counted, range_rows)
+    if len(points) > len(edges):
+        counted = _histogram(table, points)
+    before, seen, last = [], 0, 0
+    for n, own in enumerate(_shards_of(edges, points)):
+        seen, last = 0 if own != last else seen, own
+        before.append((n, own, seen))
         seen += counted[n][1] if n in counted else 0
     # As many rows as there are ranges, whatever the documents hold.
     starts = spark.createDataFrame(before, f"{RANGE} long, shard int, _shard_before long")

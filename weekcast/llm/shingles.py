@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .rolling import RunHashes, mixed
+
 WORDS = 5
 UNIVERSE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -30,15 +32,11 @@ class Powers:
 _POWERS = Powers()
 
 
-def mixed(values: np.ndarray) -> np.ndarray:
-    """Spread 64-bit values evenly (the finishing steps of a common generator)."""
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
-
-
 def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of stretches of bytes; equal stretches have equal ones."""
+    """64-bit hashes of stretches of bytes; equal stretches have equal ones.
+
+    Meant for short stretches: among those of a thousand bytes there are some
+    of two letters that this polynomial confuses."""
     _POWERS.reach(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     codes = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
@@ -46,8 +44,8 @@ def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mixed((sums[ends] - sums[starts]) * _POWERS.down[starts])
 
 
-def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of all runs of ``words`` words.
+def shingle_set(text: str, words: int = WORDS, hashing: RunHashes | None = None) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of all runs of ``words`` words.
 
     Words are runs of characters other than ASCII spaces, A-Z lower-cased.  A
     shorter text is one run; a text without words is an empty set.
@@ -55,12 +53,10 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     split = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not split:
         return np.zeros(0, np.uint64)
-    sizes = np.array([len(w) for w in split])
-    starts = np.cumsum(sizes + 1) - sizes - 1
-    ends = starts + sizes
-    runs = max(1, len(split) - words + 1)
-    last = min(words, len(split)) - 1
-    return np.unique(span_hashes(b" ".join(split), starts[:runs], ends[last : last + runs]))
+    hashing = hashing or RunHashes()
+    sums = hashing.sums(hashing.words(split))
+    starts = np.arange(max(1, len(split) - words + 1))
+    return np.unique(hashing.runs(sums, starts, starts + min(words, len(split)), slice(0, 1)))
 
 
 class CirculantMinHash:
