@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weekcast.llm import exact_dedup, minhash, packing, secrets, toxicity
 from weekcast.llm.common import documents
 from weekcast.llm.queries import training_labels, vocabulary
-from weekcast.session import cut_lineage
+from weekcast.session import cut_lineage, intermediates, remove, run_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """What a stage wrote is removed when the next has written; the documents
+    that the last stage reads stay."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+        path = run_dir(spark, name)
+        with intermediates(spark):
+            docs = cut_lineage(stage(spark, docs, sf_dir), path=path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
