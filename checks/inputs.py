@@ -13,6 +13,7 @@ from weekcast.operators import (
     training_frame,
 )
 from weekcast.schema import LEDGER, SERIES, TARGET, WEEK_START
+from weekcast.sources import payload_rows
 
 
 # The columns in use; a given schema spares each read the inference job.
@@ -185,6 +186,22 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 RECORDS = "array<struct<week_start:string,epiweek:int,num_ili:string,num_patients:int,ili:double>>"
 
 
+def faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads' records with some that can't be read: clicks lack an
+    epiweek or have one that is no number, purchases have a day that is none."""
+    k = F.col("payload_id") % 50
+    kind = F.col(SERIES)
+    return payload_rows(payloads(spark, sf_dir)).withColumns(
+        {
+            "epiweek": F.when((kind == "click") & (k == 7), None)
+            .when((kind == "click") & (k == 8), F.concat("epiweek", F.lit(".5")))
+            .when((kind == "click") & (k == 9), F.concat(F.lit("week "), "epiweek"))
+            .otherwise(F.col("epiweek")),
+            "week_start": F.when((kind == "purchase") & (k == 11), "2024-02-30").otherwise(F.col("week_start")),
+        }
+    )
+
+
 def epiweeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order with the epiweek of its date."""
     return table(spark, sf_dir, "orders").select(

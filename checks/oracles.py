@@ -297,6 +297,109 @@ def stumps(frame: str) -> str:
 STUMPED = f"({leaf('t1')} + 0.05 * {leaf('t2')})"
 
 
+# Bins, residuals in whole units and best-first trees.
+UNIT = "1048576.0"
+PLACES = range(1, len(LAG_NAMES) + 1)
+SHARES = "[" + ", ".join(f"{k}.0 / 16" for k in range(1, 16)) + "]"
+
+
+def units(expression: str) -> str:
+    return f"floor(({expression}) * {UNIT} + 0.5)::BIGINT"
+
+
+def binned(name: str, frame: str, by: str = "") -> str:
+    """``frame`` with ``bins``: of every feature the number of edges below it,
+    where edges are the distinct values at sixteenths of the training rows."""
+    keys = f"{by}, " if by else ""
+    cut = ", ".join(f"list_sort(list_distinct(quantile_disc({c}, {SHARES}))) AS e{i}" for i, c in zip(PLACES, LAG_NAMES))
+    place = ", ".join(f"len(list_filter(e{i}, lambda x: x < {c}))" for i, c in zip(PLACES, LAG_NAMES))
+    edges = f"{name}e AS (SELECT {keys}{cut} FROM f {f'GROUP BY {by}' if by else ''})"
+    joined = f"JOIN {name}e USING ({by})" if by else f"CROSS JOIN {name}e"
+    return f"""
+{edges},
+{name} AS (SELECT * EXCLUDE ({", ".join(f"e{i}" for i in PLACES)}), [{place}] AS bins FROM {frame} {joined})"""
+
+
+def edge(name: str) -> str:
+    return f"[{', '.join(f'e{i}' for i in PLACES)}][place][bin + 1]"
+
+
+def best_cut(name: str, rows: str, least: int, by: str = "") -> str:
+    """The cut with the highest gain among ``rows`` with ``bins`` and ``r``; of each ``by``."""
+    keys, part = (f"{by}, ", f"{by}, ") if by else ("", "")
+    return f"""
+{name} AS (
+  SELECT *, moved * moved / ln * tn / (tn - ln) AS gain FROM (
+    SELECT *, ls::DOUBLE - ts::DOUBLE * ln / tn AS moved FROM (
+      SELECT {keys}place, bin, sum(n) OVER o AS ln, sum(s) OVER o AS ls,
+             sum(n) OVER (PARTITION BY {part}place) AS tn, sum(s) OVER (PARTITION BY {part}place) AS ts
+      FROM (
+        SELECT {keys}place, bin, sum(r) AS s, count(*) AS n
+        FROM (SELECT {keys}unnest(range(1, {len(LAG_NAMES) + 1})) AS place, unnest(bins) AS bin, r FROM {rows})
+        GROUP BY {keys}place, bin
+      )
+      WINDOW o AS (PARTITION BY {part}place ORDER BY bin)
+    )
+  )
+  WHERE ln >= {least} AND tn - ln >= {least} AND abs(moved) >= 1
+  QUALIFY row_number() OVER ({f'PARTITION BY {by} ' if by else ''}ORDER BY gain DESC, place, bin) = 1
+)"""
+
+
+def value(total: str, rows: str) -> str:
+    return f"0.05 * (({total})::DOUBLE / ({rows})) / {UNIT}"
+
+
+def left_of(cut: str) -> str:
+    return f"bins[(SELECT place FROM {cut})] <= (SELECT bin FROM {cut})"
+
+
+def three_leaves(t: str, rows: str) -> str:
+    """A tree: the first cut, the better of the cuts of its sides, and the nodes."""
+    chosen = f"(SELECT node FROM {t}c)"
+    return f"""{best_cut(f'{t}r', rows, 30)},{best_cut(f'{t}a', f"(SELECT * FROM {rows} WHERE {left_of(f'{t}r')})", 30)},
+{best_cut(f'{t}b', f"(SELECT * FROM {rows} WHERE NOT {left_of(f'{t}r')})", 30)},
+{t}c AS (
+  SELECT CASE WHEN a IS NULL AND b IS NULL THEN 0 WHEN b IS NULL OR a >= b THEN 2 ELSE 3 END AS node
+  FROM (SELECT (SELECT gain FROM {t}a) AS a, (SELECT gain FROM {t}b) AS b)
+),
+{t}s AS (SELECT * FROM {t}a WHERE {chosen} = 2 UNION ALL SELECT * FROM {t}b WHERE {chosen} = 3),
+{t}n AS (
+  SELECT 1 AS node, place, bin, NULL::DOUBLE AS value FROM {t}r
+  UNION ALL SELECT 2, NULL, NULL, {value('ls', 'ln')} FROM {t}r WHERE {chosen} <> 2
+  UNION ALL SELECT 3, NULL, NULL, {value('ts - ls', 'tn - ln')} FROM {t}r WHERE {chosen} <> 3
+  UNION ALL SELECT {chosen}, place, bin, NULL FROM {t}s
+  UNION ALL SELECT 2 * {chosen}, NULL, NULL, {value('ls', 'ln')} FROM {t}s
+  UNION ALL SELECT 2 * {chosen} + 1, NULL, NULL, {value('ts - ls', 'tn - ln')} FROM {t}s
+)"""
+
+
+def leaf_value(t: str) -> str:
+    """What a tree adds for a row with ``bins``."""
+    side = f"(CASE WHEN {left_of(f'{t}r')} THEN 2 ELSE 3 END)"
+    below = f"2 * {side} + CASE WHEN {left_of(f'{t}s')} THEN 0 ELSE 1 END"
+    node = f"CASE WHEN {side} <> (SELECT node FROM {t}c) THEN {side} ELSE {below} END"
+    return f"(SELECT value FROM {t}n WHERE node = {node})"
+
+
+BASE_VALUE = f"(sum({units('ilitotal')}))::DOUBLE / count(*) / {UNIT}"
+LEAFWISE = f"""{binned('b0', 'f')},
+mean AS (SELECT {BASE_VALUE} AS base FROM f),
+w1 AS (SELECT b0.*, base, {units('ilitotal - base')} AS r FROM b0, mean),{three_leaves('t1', 'w1')},
+w2 AS (SELECT * REPLACE ({units(f"ilitotal - (base + {leaf_value('t1')})")} AS r) FROM w1),{three_leaves('t2', 'w2')}"""
+LEAFWISE_VALUE = f"((SELECT base FROM mean) + {leaf_value('t1')} + {leaf_value('t2')})"
+
+OWN_ADDS = f"CASE WHEN bins[place] <= bin THEN {value('ls', 'ln')} ELSE {value('ts - ls', 'tn - ln')} END"
+PER_SERIES = f"""{binned('b0', 'f', 'series')},
+mean AS (SELECT series, {BASE_VALUE} AS base FROM f GROUP BY series),
+w1 AS (SELECT b0.*, base, {units('ilitotal - base')} AS r FROM b0 JOIN mean USING (series)),{best_cut('t1', 'w1', 10, 'series')},
+w2 AS (
+  SELECT * EXCLUDE (place, bin, ln, ls, tn, ts, moved, gain)
+         REPLACE ({units(f"ilitotal - (base + {OWN_ADDS})")} AS r, base + {OWN_ADDS} AS base)
+  FROM w1 JOIN t1 USING (series)
+),{best_cut('t2', 'w2', 10, 'series')}"""
+
+
 FORECAST_OUT = f"series, {DAY}, " + ", ".join(r6(c) for c in ("predicted_ili", "ci_lower", "ci_upper"))
 LOOKED_OUT = f"{FORECAST_OUT}, {MADE}, actual_ili, status"
 ACCURACY_OUT = f"{LOOKED_OUT}, {r6('abs_deviation')}, {r6('deviation_pct')}, in_interval, direction, accuracy"
@@ -336,6 +439,22 @@ x AS (
   FROM y
 )"""
 
+FAULTY = """
+bad AS (
+  SELECT *, CASE WHEN week IS NULL THEN 'not an epiweek: null'
+                 WHEN try_cast(week AS INT) IS NULL OR contains(week, '.') THEN 'not an epiweek: ' || week
+                 WHEN week_start = '2024-02-30' THEN 'not a date: ' || week_start END AS error
+  FROM (
+    SELECT * REPLACE (CASE WHEN series = 'purchase' AND payload_id % 50 = 11 THEN '2024-02-30' ELSE week_start END AS week_start),
+           CASE WHEN series = 'click' AND payload_id % 50 = 7 THEN NULL
+                WHEN series = 'click' AND payload_id % 50 = 8 THEN epiweek || '.5'
+                WHEN series = 'click' AND payload_id % 50 = 9 THEN 'week ' || epiweek
+                ELSE epiweek::VARCHAR END AS week,
+           epiweek // 100 - 1 AS py, make_date(epiweek // 100 - 1, 1, 1) AS prior
+    FROM x
+  )
+)"""
+
 ORDER_WEEKS = """
 o AS (
   SELECT o_orderkey,
@@ -358,6 +477,12 @@ SHIFT = (
     "((py % 4 = 0 AND py % 100 <> 0) OR py % 400 = 0)) THEN 7 ELSE 0 END"
 )
 
+SOUND = f"""
+SELECT payload_id, series, {text(f"first_day + CASE WHEN week_start IS NULL THEN {SHIFT} ELSE 0 END", 'week_start')},
+       epiweek AS week, try_cast(num_ili AS DOUBLE) AS ilitotal,
+       num_patients::DOUBLE AS total_patients, {r6('value', 'percent_ili')}
+FROM bad"""
+
 REGIONS = """
 raw AS (
   SELECT c_custkey,
@@ -464,6 +589,22 @@ SPLIT_FRAME = f"""WITH {REPEATING},{features('h', f'WINDOW w AS ({FULL_ORDER})')
 SELECT {FRAME_OUT}, CASE WHEN 5 * row_number() OVER ({FULL_ORDER}, {", ".join(FEATURES)}) <= 4 * count(*) OVER (PARTITION BY series)
                          THEN 'train' ELSE 'validation' END AS split FROM f"""
 
+DUE = "series IN (SELECT series FROM g WHERE action = 'retrain')"
+
+
+def run_status(made: str) -> str:
+    """Gate, comparison and forecast of a run; ``made`` ends in the forecasts ``z``."""
+    return f"""WITH {PANEL},{NEWEST_ACCURACY},{GATE},{FRAME},
+due AS (SELECT f.* FROM f JOIN g USING (series) WHERE g.action = 'retrain'),
+{made}
+SELECT g.series, g.action, g.reason, {text('z.week_start', 'next_week')},
+       {r6('z.predicted_ili', 'predicted_ili')}, {r6('z.ci_lower', 'ci_lower')}, {r6('z.ci_upper', 'ci_upper')}, z.status,
+       a.week_start::VARCHAR AS prior_week, a.actual_ili, {r6('a.deviation_pct', 'deviation_pct')},
+       CASE WHEN g.action = 'skip' THEN v.week_start::VARCHAR END AS standing_week
+FROM g LEFT JOIN z ON z.series = g.series LEFT JOIN a ON a.series = g.series
+LEFT JOIN v ON v.series = g.series"""
+
+
 ORACLES: dict[str, str] = {
     "payload_rows": f"""WITH {EVENTS}
 SELECT payload_id, series, week_start, epiweek::VARCHAR AS epiweek, num_ili,
@@ -482,6 +623,14 @@ SELECT series, {text(f"first_day + CASE WHEN week_start IS NULL THEN {SHIFT} ELS
        epiweek AS week, try_cast(num_ili AS DOUBLE) AS ilitotal,
        num_patients::DOUBLE AS total_patients, {r6('value', 'percent_ili')}
 FROM (SELECT *, epiweek // 100 - 1 AS py, make_date(epiweek // 100 - 1, 1, 1) AS prior FROM x)""",
+    "observation_errors": f"""WITH {EVENTS},{FAULTY}
+SELECT series, payload_id, error,
+       '{{"week_start":' || coalesce('"' || week_start || '"', 'null') || ',"epiweek":' || coalesce('"' || week || '"', 'null')
+       || ',"num_ili":"' || num_ili || '","num_patients":"' || num_patients || '","ili":"' || value::VARCHAR || '"}}' AS record
+FROM bad WHERE error IS NOT NULL""",
+    "sound_observations": f"WITH {EVENTS},{FAULTY} {SOUND} WHERE error IS NULL",
+    "sound_observations_series": f"""WITH {EVENTS},{FAULTY} {SOUND}
+WHERE series NOT IN (SELECT series FROM bad WHERE error IS NOT NULL)""",
     "epiweek_to_date": f"""WITH {ORDER_WEEKS}
 SELECT o_orderkey, epiweek, {text(f'{MMWR} + {SHIFT}', 'week_start')} FROM j""",
     "mmwr_week_start": f"""WITH {ORDER_WEEKS}
@@ -532,6 +681,24 @@ FROM d GROUP BY series, split""",
     "fit_forecaster_stumps": f"""WITH {PANEL},{FRAME},{stumps('f')}
 SELECT 1::INT AS tree, [{STUMP_NAMES}][place] AS feature, {r6('threshold')}, {r6('low')}, {r6('high')} FROM t1
 UNION ALL SELECT 2, [{STUMP_NAMES}][place], {r6('threshold')}, {r6('0.05 * low', 'low')}, {r6('0.05 * high', 'high')} FROM t2""",
+    "fit_forecaster_leafwise": f"""WITH {PANEL},{FRAME},{LEAFWISE}
+SELECT 'all' AS model, tree::INT AS tree, node::INT AS node, [{STUMP_NAMES}][place] AS feature,
+       {r6(edge('b0e'), 'threshold')}, {r6('value')}
+FROM (SELECT 1 AS tree, * FROM t1n UNION ALL SELECT 2, * FROM t2n), b0e""",
+    "fit_forecaster_per_series": f"""WITH {PANEL},{FRAME},{PER_SERIES}
+SELECT series AS model, tree::INT AS tree, node::INT AS node, CASE WHEN node = 1 THEN [{STUMP_NAMES}][place] END AS feature,
+       CASE WHEN node = 1 THEN round({edge('b0e')}, 6) END AS threshold,
+       CASE node WHEN 2 THEN round({value('ls', 'ln')}, 6) WHEN 3 THEN round({value('ts - ls', 'tn - ln')}, 6) END AS value
+FROM (SELECT 1 AS tree, * FROM t1 UNION ALL SELECT 2, * FROM t2) JOIN b0e USING (series), (VALUES (1), (2), (3)) AS k(node)""",
+    "score_compiled": f"""WITH {PANEL},{FRAME},{stumps('f')}
+SELECT series, {DAY}, ilitotal, {r6(STUMPED, 'prediction')} FROM f""",
+    "score_leafwise": f"""WITH {PANEL},{FRAME},{LEAFWISE}
+SELECT series, {DAY}, ilitotal, {r6(LEAFWISE_VALUE, 'prediction')}, 'ok' AS status FROM b0""",
+    "score_per_series": f"""WITH {PANEL},{FRAME},{PER_SERIES}
+SELECT series, {DAY}, ilitotal,
+       {r6(f"base + coalesce((SELECT {OWN_ADDS} FROM t1 WHERE t1.series = w.series), 0) + coalesce((SELECT {OWN_ADDS} FROM t2 WHERE t2.series = w.series), 0)", 'prediction')},
+       'ok' AS status
+FROM w1 AS w""",
     "score_stumps": f"""WITH {PANEL},{FRAME},{stumps('f')}
 SELECT series, {DAY}, ilitotal, {r6(STUMPED, 'prediction')}, 'ok' AS status FROM f""",
     "backtest_stumps": f"""WITH {PANEL},{FRAME},{SPLIT},
@@ -543,6 +710,11 @@ FROM (SELECT *, {STUMPED} AS fitted FROM d) GROUP BY split""",
     "next_forecast_stumps": f"""WITH {PANEL},{FRAME},{RANKED},{point('parity')},{stumps('f')},
 {residual_spans('f', STUMPED)},
 {forecast(f"SELECT c.series, c.week_start, t.n, {STUMPED} AS value, false AS missing FROM c JOIN ({COUNTED}) t USING (series)")}
+SELECT {FORECAST_OUT}, interval_ok, status FROM z""",
+    "next_forecast_leafwise": f"""WITH {PANEL},{FRAME},{RANKED},{point('parity')},{LEAFWISE},
+d0 AS (SELECT * EXCLUDE ({", ".join(f"e{i}" for i in PLACES)}), [{", ".join(f"len(list_filter(e{i}, lambda x: x < {c}))" for i, c in zip(PLACES, LAG_NAMES))}] AS bins FROM c CROSS JOIN b0e),
+{residual_spans('b0', LEAFWISE_VALUE)},
+{forecast(f"SELECT d0.series, d0.week_start, t.n, {LEAFWISE_VALUE} AS value, false AS missing FROM d0 JOIN ({COUNTED}) t USING (series)")}
 SELECT {FORECAST_OUT}, interval_ok, status FROM z""",
     "backtest_mean_model": f"""WITH {PANEL},{FRAME},{SPLIT},
 mu AS (SELECT avg(ilitotal) AS mean FROM d WHERE split = 'train')
@@ -562,6 +734,14 @@ SELECT {FORECAST_OUT}, interval_ok FROM ({
     "ledger_append_json": APPENDED,
     "ledger_latest_valid": f"""WITH {PANEL},{LEDGER}
 SELECT {FORECAST_OUT}, {MADE} FROM v""",
+    "ledger_snapshot": f"""WITH {PANEL},{LEDGER}
+SELECT {FORECAST_OUT}, {MADE} FROM v""",
+    "ledger_errors": f"""WITH {PANEL},{LEDGER}
+SELECT series, {MADE}, 'missing: ci_lower' AS error,
+       '{{"series":"' || series || '","week_start":"' || week_start::VARCHAR || '","predicted_ili":' || predicted_ili::VARCHAR
+       || ',"ci_lower":null,"ci_upper":' || ci_upper::VARCHAR
+       || ',"generated_at":"' || strftime(generated_at, '%Y-%m-%dT%H:%M:%S.000Z') || '"}}' AS record
+FROM l WHERE ci_lower IS NULL""",
     "forecast_actual_lookup": f"WITH {PANEL},{LEDGER},{lookup('k', 'l')} SELECT {LOOKED_OUT} FROM k",
     "forecast_accuracy": f"WITH {PANEL},{ALL_ACCURACY} SELECT {ACCURACY_OUT} FROM a",
     "deviation_alerts": f"WITH {BASELINE},{ALL_ACCURACY} {ALERTS}",
@@ -570,13 +750,9 @@ SELECT {FORECAST_OUT}, {MADE} FROM v""",
     "summary_lines": f"WITH {BASELINE},{NEWEST_ACCURACY} {SUMMARY}",
     "chart_frame": f"WITH {BASELINE},{NEWEST_ACCURACY} {CHART}",
     "alert_outputs": f"WITH {PANEL},{ALL_ACCURACY} {OUTPUTS}",
-    "weekly_run_status": f"""WITH {PANEL},{NEWEST_ACCURACY},{GATE},{FRAME},
-due AS (SELECT f.* FROM f JOIN g USING (series) WHERE g.action = 'retrain'),
-{mean_forecast('due', "series IN (SELECT series FROM g WHERE action = 'retrain')")}
-SELECT g.series, g.action, g.reason, {text('z.week_start', 'next_week')},
-       {r6('z.predicted_ili', 'predicted_ili')}, {r6('z.ci_lower', 'ci_lower')}, {r6('z.ci_upper', 'ci_upper')}, z.status,
-       a.week_start::VARCHAR AS prior_week, a.actual_ili, {r6('a.deviation_pct', 'deviation_pct')},
-       CASE WHEN g.action = 'skip' THEN v.week_start::VARCHAR END AS standing_week
-FROM g LEFT JOIN z ON z.series = g.series LEFT JOIN a ON a.series = g.series
-LEFT JOIN v ON v.series = g.series""",
+    "weekly_run_status": run_status(mean_forecast("due", DUE)),
+    "weekly_run_published": run_status(mean_forecast("due", DUE)),
+    "weekly_run_stumps": run_status(f"""{RANKED},{point('parity')},{stumps('due')},
+{residual_spans('due', STUMPED)},
+{forecast(f"SELECT c.series, c.week_start, t.n, {STUMPED} AS value, false AS missing FROM c JOIN ({COUNTED}) t USING (series) WHERE {DUE}")}"""),
 }

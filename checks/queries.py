@@ -14,7 +14,16 @@ from weekcast import operators as op
 from weekcast import sources as src
 from weekcast.functions import epiweek_to_date, mmwr_week_start
 from weekcast.plans import WeeklyRun, weekly_run
-from weekcast.schema import FEATURES, LAGS, OBSERVATION_COLUMNS, SERIES, TARGET, WEEK_START, YEAR_LAG
+from weekcast.schema import (
+    FEATURES,
+    LAGS,
+    LEDGER,
+    OBSERVATION_COLUMNS,
+    SERIES,
+    TARGET,
+    WEEK_START,
+    YEAR_LAG,
+)
 from weekcast.session import cut_lineage, run_dir
 
 from . import inputs
@@ -31,6 +40,10 @@ MEAN_MODEL = op.ModelParams(trees=1, depth=0)
 # and both leaf means are plain SQL.
 STUMPS = op.ModelParams(trees=2, depth=1, feature_share=1.0)
 STUMP_FEATURES = [f"lag_{k}" for k in (*LAGS, YEAR_LAG)]
+# Two trees of three leaves, the second cut where best-first growth puts it, and
+# a stump model for every series: bins, residuals and cuts are plain SQL.
+THREE_LEAVES = op.ModelParams(trees=2, depth=2, leaves=3, bins=16, feature_share=1.0)
+OWN_STUMPS = op.ModelParams(trees=2, depth=1, leaves=2, bins=16, feature_share=1.0, min_leaf_rows=10)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -71,6 +84,18 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(src.observations(payload_rows(spark, sf_dir)))
 
 
+def observation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.observation_errors(src.tagged_observations(inputs.faulty_records(spark, sf_dir)))
+
+
+def sound_observations(faulty: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tagged = src.tagged_observations(inputs.faulty_records(spark, sf_dir))
+        return comparable(src.sound_observations(tagged, faulty))
+
+    return query
+
+
 def _named_regions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     nation = inputs.table(spark, sf_dir, "nation")
     code = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))
@@ -176,6 +201,35 @@ def fit_forecaster_stumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.createDataFrame(rows, schema))
 
 
+def _nodes(model: op.LeafwiseModel) -> DataFrame:
+    """A row for each node of each tree."""
+    names = F.array(*[F.lit(name) for name in model.features])
+    nodes = model.trees.select(F.col("_model").alias("model"), "tree", F.inline("nodes"))
+    return comparable(nodes.withColumn("feature", F.get(names, F.col("feature"))))
+
+
+def fit_leafwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nodes(op.fit_forecaster(_frame(spark, sf_dir), THREE_LEAVES, STUMP_FEATURES))
+
+
+def fit_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = op.fit_forecaster(_frame(spark, sf_dir), OWN_STUMPS, STUMP_FEATURES, scope="series")
+    return _nodes(model)
+
+
+def score_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame = _frame(spark, sf_dir)
+    scored = op.score(op.fit_forecaster(frame, OWN_STUMPS, STUMP_FEATURES, scope="series"), frame)
+    return comparable(scored.select(SERIES, WEEK_START, TARGET, "prediction", "status"))
+
+
+def score_compiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stumps as one expression over the feature columns."""
+    frame = _frame(spark, sf_dir)
+    value = op.compiled(op.fit_forecaster(frame, STUMPS, STUMP_FEATURES))
+    return comparable(frame.select(SERIES, WEEK_START, TARGET, value.alias("prediction")))
+
+
 def score(
     spark: SparkSession, sf_dir: str, params: op.ModelParams = TREES, features: list[str] = FEATURES
 ) -> DataFrame:
@@ -244,6 +298,24 @@ def ledger_append(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> Dat
     return comparable(src.read_ledger(spark, path, fmt).drop("_corrupt"))
 
 
+def _run_log(panel: DataFrame) -> src.RunLog:
+    """The ledger's history as twelve runs of a log that takes a snapshot every five."""
+    log = src.RunLog(panel.sparkSession, run_dir(panel.sparkSession, "run-log"), snapshot_every=5)
+    history = cut_lineage(inputs.ledger(panel).select(*LEDGER.names))
+    part = F.month("generated_at")
+    for month in range(1, 13):
+        log.publish_rows({}, f"2001-{month:02d}-01", history.where(part == month))
+    return log
+
+
+def ledger_snapshot(panel: DataFrame) -> DataFrame:
+    return _run_log(panel).latest_valid()
+
+
+def ledger_errors(panel: DataFrame) -> DataFrame:
+    return src.ledger_errors(inputs.ledger(panel).withColumn("_corrupt", F.lit(None).cast("string")))
+
+
 def alerts(panel: DataFrame) -> DataFrame:
     return op.deviation_alerts(_accuracy(panel), inputs.baseline_forecasts(panel))
 
@@ -276,14 +348,19 @@ def outputs(panel: DataFrame) -> DataFrame:
 
 
 def _run(
-    spark: SparkSession, sf_dir: str, params: op.ModelParams, key: tuple[str, ...] = inputs.BY_SEGMENT
+    spark: SparkSession,
+    sf_dir: str,
+    params: op.ModelParams,
+    key: tuple[str, ...] = inputs.BY_SEGMENT,
+    features: list[str] = FEATURES,
 ) -> WeeklyRun:
     panel = cut_lineage(inputs.weekly_panel(spark, sf_dir, key))
     path = run_dir(spark, "run")
     inputs.ledger(panel).write.partitionBy(WEEK_START).parquet(f"{path}/ledger")
     return weekly_run(
-        panel, f"{path}/ledger", AS_OF, out_path=f"{path}/out", params=params, layout="series"
-    )
+        panel, f"{path}/ledger", AS_OF, out_path=f"{path}/out", params=params, layout="series",
+        features=features,
+    )
 
 
 def weekly_report(
@@ -294,26 +371,47 @@ def weekly_report(
     return comparable(run["gate"].join(run["forecasts"], SERIES, "left"))
 
 
-def weekly_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same run with the mean model: gate, comparison and forecast."""
-    run = _run(spark, sf_dir, MEAN_MODEL)
-    ahead = run["forecasts"].select(
+def _status(tables: dict[str, DataFrame]) -> DataFrame:
+    """Gate, comparison and forecast of a run."""
+    ahead = tables["forecasts"].select(
         SERIES, F.col(WEEK_START).alias("next_week"), "predicted_ili", "ci_lower", "ci_upper", "status"
     )
-    prior = run["accuracy"].select(
+    prior = tables["accuracy"].select(
         SERIES, F.col(WEEK_START).alias("prior_week"), "actual_ili", "deviation_pct"
     )
-    waiting = run["standing"].select(SERIES, F.col(WEEK_START).alias("standing_week"))
-    report = run["gate"].join(ahead, SERIES, "left").join(prior, SERIES, "left")
+    waiting = tables["standing"].select(SERIES, F.col(WEEK_START).alias("standing_week"))
+    report = tables["gate"].join(ahead, SERIES, "left").join(prior, SERIES, "left")
     return comparable(report.join(waiting, SERIES, "left"))
 
 
+def weekly_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run with the mean model."""
+    return _status(_run(spark, sf_dir, MEAN_MODEL))
+
+
+def weekly_run_stumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run with trees of one cut each."""
+    return _status(_run(spark, sf_dir, STUMPS, features=STUMP_FEATURES))
+
+
+def weekly_run_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run with the mean model, as its log gives it out."""
+    panel = cut_lineage(inputs.weekly_panel(spark, sf_dir))
+    log = _run_log(panel)
+    weekly_run(panel, log, AS_OF, params=MEAN_MODEL, layout="series").remove()
+    names = ("forecasts", "accuracy", "standing", "gate")
+    return _status({name: log.output(name) for name in names})
+
+
 QUERIES: dict[str, Query] = {
     "payload_rows": payload_rows,
     "payload_errors": payload_errors,
     "normalize_region": normalize_region,
     "normalize_region_trusted": normalize_region_trusted,
     "observations": observations,
+    "observation_errors": observation_errors,
+    "sound_observations": sound_observations("record"),
+    "sound_observations_series": sound_observations("series"),
     "epiweek_to_date": epiweek_dates,
     "mmwr_week_start": mmwr_dates,
     "scope_filter": on_panel(scope),
@@ -341,8 +439,13 @@ QUERIES: dict[str, Query] = {
     "regression_metrics": on_panel(metrics),
     "fit_forecaster": fit_forecaster,
     "fit_forecaster_stumps": fit_forecaster_stumps,
+    "fit_forecaster_leafwise": fit_leafwise,
+    "fit_forecaster_per_series": fit_per_series,
     "score": score,
     "score_stumps": lambda spark, sf_dir: score(spark, sf_dir, STUMPS, STUMP_FEATURES),
+    "score_compiled": score_compiled,
+    "score_leafwise": lambda spark, sf_dir: score(spark, sf_dir, THREE_LEAVES, STUMP_FEATURES),
+    "score_per_series": score_per_series,
     "backtest": backtest,
     "backtest_stumps": lambda spark, sf_dir: backtest(spark, sf_dir, STUMPS, STUMP_FEATURES),
     "backtest_mean_model": lambda spark, sf_dir: backtest(spark, sf_dir, MEAN_MODEL),
@@ -351,12 +454,17 @@ QUERIES: dict[str, Query] = {
     "next_forecast_stumps": lambda spark, sf_dir: next_forecast(
         spark, sf_dir, STUMPS, STUMP_FEATURES
     ),
+    "next_forecast_leafwise": lambda spark, sf_dir: next_forecast(
+        spark, sf_dir, THREE_LEAVES, STUMP_FEATURES
+    ),
     "next_forecast_mean_model": lambda spark, sf_dir: next_forecast(spark, sf_dir, MEAN_MODEL),
     "next_forecast_missing": next_forecast_gappy("parity"),
     "next_forecast_missing_strict": next_forecast_gappy("strict"),
     "ledger_append": ledger_append,
     "ledger_append_json": lambda spark, sf_dir: ledger_append(spark, sf_dir, "json"),
     "ledger_latest_valid": on_panel(_latest),
+    "ledger_snapshot": on_stored_panel(ledger_snapshot),
+    "ledger_errors": on_stored_panel(ledger_errors),
     "forecast_actual_lookup": on_stored_panel(
         lambda p: op.forecast_actual_lookup(inputs.ledger(p), p)
     ),
@@ -369,4 +477,6 @@ QUERIES: dict[str, Query] = {
     "alert_outputs": on_stored_panel(outputs),
     "weekly_run": weekly_report,
     "weekly_run_status": weekly_run_status,
+    "weekly_run_stumps": weekly_run_stumps,
+    "weekly_run_published": weekly_run_published,
 }

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clamp_at_zero
 from ..schema import INTERVAL, RESIDUAL_ROWS, SERIES, TARGET, WEEK_START, YEAR_LAG
 from .features import forecast_point_features, training_frame
-from .model import score
+from .model import Model, score
 from .order import newest_rows
 
 
@@ -43,7 +42,7 @@ def residual_interval(
 
 
 def next_forecast(
-    model: PipelineModel,
+    model: Model,
     panel: DataFrame,
     frame: DataFrame | None = None,
     mode: str = "parity",

@@ -1,7 +1,8 @@
-"""Boosted regression trees on Spark ML: fit, score, backtest.
+"""Boosted regression trees: fit, score, backtest.
 
-One pooled model is fitted over all series of the frame.  A frame filtered to
-one series gives that series its own model.
+Trees grow level by level with Spark ML or, if the parameters bound the number
+of ``leaves``, leaf by leaf from histograms.  One model is pooled over all series
+of the frame; grown leaf by leaf, every series can have its own.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from ..functions import clamp_at_zero
 from ..schema import FEATURES, TARGET
 from ..session import cut_lineage, ensure_checkpoint_dir
+from . import leafwise
+from .leafwise import LeafwiseModel
 from .metrics import regression_metrics
 from .split import chronological_split
 
@@ -32,9 +35,12 @@ FIT_ROWS_PER_TASK = 50_000
 class ModelParams:
     """The size of the model and its seed.
 
-    Rows are not sampled per tree.  Trees grow level by level to ``depth``.
-    ``rate`` is the share of the mean residual that a tree adds; the first tree
-    is the model's start and counts in full.
+    Rows are not sampled per tree.  ``rate`` is the share of the mean residual
+    that a tree adds.  With ``leaves`` a tree grows leaf by leaf, always where
+    the gain is highest, to that many leaves and at most ``depth``; the columns
+    are drawn once for a tree and the model starts from the mean.  Without,
+    trees grow level by level to ``depth``, columns are drawn for every node,
+    and the first tree is the model's start and counts in full.
     """
 
     trees: int = 200
@@ -45,20 +51,35 @@ class ModelParams:
     bins: int = 255
     seed: int = 42
     checkpoint_every: int = 25
+    leaves: int | None = None
+
+
+#: Fixed value: the number of leaves that goes with the other defaults.
+LEAFWISE = ModelParams(leaves=31)
+
+Model = PipelineModel | LeafwiseModel
 
 
 def fit_forecaster(
     frame: DataFrame,
     params: ModelParams = ModelParams(),
     features: Sequence[str] = FEATURES,
-) -> PipelineModel:
+    scope: str = "pooled",
+) -> Model:
     """Fit on a complete training frame.
 
-    Boosting adds to the lineage of the running residuals with every tree, so
+    ``scope="series"`` fits a model for every series side by side; that takes
+    trees grown leaf by leaf (``params.leaves``).
+
+    With Spark ML, boosting adds to the lineage of the running residuals with every tree, so
     it is checkpointed every few trees into the shared folder.  A fit is a long
     chain of short jobs, one per tree level: the frame is counted and dealt out
     so that each task has enough rows to be worth its start.
     """
+    if params.leaves is not None:
+        return leafwise.fit(frame, params, features, scope)
+    if scope != "pooled":
+        raise ValueError(f"scope {scope!r} takes trees grown leaf by leaf: set leaves")
     ensure_checkpoint_dir(frame.sparkSession)
     trees = GBTRegressor(
         featuresCol="features",
@@ -82,8 +103,21 @@ def fit_forecaster(
     return Pipeline(stages=[assembler, trees]).fit(rows.coalesce(tasks))
 
 
+def features_of(model: Model) -> list[str]:
+    if isinstance(model, LeafwiseModel):
+        return model.features
+    return list(model.stages[0].getInputCols())
+
+
+def _predicted(model: Model, rows: DataFrame) -> DataFrame:
+    """Rows without missing features, with ``prediction``."""
+    if isinstance(model, LeafwiseModel):
+        return leafwise.predict(model, rows)
+    return model.transform(rows).drop("features")
+
+
 def score(
-    model: PipelineModel, rows: DataFrame, clamp: bool = False, missing: str = "strict"
+    model: Model, rows: DataFrame, clamp: bool = False, missing: str = "strict"
 ) -> DataFrame:
     """Add ``prediction`` and ``status`` in one pass.
 
@@ -91,11 +125,12 @@ def score(
     ``insufficient_history``; with ``missing="parity"`` the lacking feature
     counts as 0.0, which is what a library makes of a value it never saw
     missing in training, and the status is ``missing_feature``.  ``clamp`` is
-    for forecasts, which count cases and cannot be negative.
+    for forecasts, which count cases and cannot be negative.  A series that a
+    model per series hasn't seen gets no prediction.
     """
     if missing not in ("strict", "parity"):
         raise ValueError(f"missing must be 'strict' or 'parity', not {missing!r}")
-    features = model.stages[0].getInputCols()
+    features = features_of(model)
     complete = F.lit(True)
     for name in features:
         complete = complete & F.col(f"_given.{name}").isNotNull()
@@ -106,7 +141,7 @@ def score(
     lacking = "insufficient_history" if missing == "strict" else "missing_feature"
     prediction = F.when(usable, F.col("prediction"))
     return (
-        model.transform(filled)
+        _predicted(model, filled)
         .withColumns({name: F.col(f"_given.{name}") for name in features})
         .withColumns(
             {
@@ -114,12 +149,12 @@ def score(
                 "status": F.when(complete, "ok").otherwise(lacking),
             }
         )
-        .drop("_given", "features")
+        .drop("_given")
     )
 
 
 class Backtest(NamedTuple):
-    model: PipelineModel
+    model: Model
     features: list[str]
     metrics: DataFrame
     frame: DataFrame  # the training frame with its split, fixed as files
@@ -133,6 +168,7 @@ def backtest(
     scope: str = "series",
     layout: str = "auto",
     features: Sequence[str] = FEATURES,
+    models: str = "pooled",
 ) -> Backtest:
     """Fit on the earlier part, measure both parts, then refit on everything.
 
@@ -140,6 +176,8 @@ def backtest(
     once instead of being derived again each time.  A frame that has ``split``
     already is taken to be fixed and is used as it is.
 
+    ``models="series"`` fits a model for every series (see ``fit_forecaster``).
+
     The two fits do not depend on each other and are submitted side by side.
     Series so short that none has an earlier part leave nothing for a trial:
     the metrics are then NULL over 0 rows, and the final fit is still made.
@@ -149,7 +187,7 @@ def backtest(
         parts = cut_lineage(chronological_split(frame, scope=scope, layout=layout))
     early = parts.where(F.col("split") == "train")
     fit = inheritable_thread_target(frame.sparkSession)(
-        lambda rows: fit_forecaster(rows, params, features)
+        lambda rows: fit_forecaster(rows, params, features, models)
     )
     if early.isEmpty():
         final = fit(parts)

@@ -28,16 +28,21 @@ def as_utc(as_of: datetime | str) -> datetime:
     return as_of.replace(tzinfo=as_of.tzinfo or timezone.utc).astimezone(timezone.utc)
 
 
-def ledger_append(
-    forecasts: DataFrame, path: str, as_of: datetime | str, fmt: str = "parquet"
-) -> None:
-    """Add one row per forecast.  Rows without a prediction are not forecasts."""
-    rows = (
+def ledger_rows(forecasts: DataFrame, as_of: datetime | str) -> DataFrame:
+    """Forecasts as ledger rows.  Rows without a prediction are not forecasts."""
+    made = f"{as_utc(as_of):%Y-%m-%dT%H:%M:%SZ}"
+    return (
         forecasts.where(F.col("predicted_ili").isNotNull())
         .select(*FORECAST_COLUMNS)
-        .withColumn("generated_at", F.lit(f"{as_utc(as_of):%Y-%m-%dT%H:%M:%SZ}").cast("timestamp"))
+        .withColumn("generated_at", F.lit(made).cast("timestamp"))
     )
-    writer = rows.write.mode("append").partitionBy(WEEK_START)
+
+
+def ledger_append(
+    forecasts: DataFrame, path: str, as_of: datetime | str, fmt: str = "parquet"
+) -> None:
+    """Add one row per forecast."""
+    writer = ledger_rows(forecasts, as_of).write.mode("append").partitionBy(WEEK_START)
     if fmt == "json":
         writer.options(ignoreNullFields="false", **_JSON_TIME).json(path)
     else:
@@ -75,26 +80,45 @@ def ledger_quarantine(ledger: DataFrame) -> DataFrame:
     return ledger.where(bad)
 
 
+def ledger_newest(ledger: DataFrame) -> DataFrame:
+    """The newest row of every series, complete or not, with all columns.
+
+    ``generated_at`` may be NULL and then ranks last; of equal instants the row
+    with the latest week and the highest numbers is taken.  Spark cuts the rank
+    to one row per series before the shuffle.
+    """
+    newest = Window.partitionBy(SERIES).orderBy(
+        F.col("generated_at").desc_nulls_last(),
+        *[F.col(c).desc_nulls_first() for c in REQUIRED],
+    )
+    ranked = ledger.where(F.col(SERIES).isNotNull()).withColumn("_rank", F.row_number().over(newest))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
+
+
 def ledger_latest_valid(ledger: DataFrame | str, fmt: str = "parquet") -> DataFrame:
     """The newest row of every series, if that row is complete.
 
     ``ledger`` is a table or the path of one.  An incomplete newest row leaves
     the series without a forecast (cold start); older rows are not consulted.
-    ``generated_at`` itself may be NULL and then ranks last.  Spark cuts the
-    rank to one row per series before the shuffle.
     """
     if isinstance(ledger, str):
         ledger = read_ledger(SparkSession.active(), ledger, fmt)
     broken = F.col(CORRUPT).isNotNull() if CORRUPT in ledger.columns else F.lit(False)
-    newest = Window.partitionBy(SERIES).orderBy(
-        F.col("generated_at").desc_nulls_last(),
-        *[F.col(c).desc_nulls_first() for c in REQUIRED],
+    newest = ledger_newest(ledger.select(*LEDGER.names, broken.alias("_broken")))
+    return newest.where(~F.col("_broken")).dropna(subset=list(REQUIRED)).drop("_broken")
+
+
+def ledger_errors(ledger: DataFrame) -> DataFrame:
+    """``series, generated_at, error, record`` of the quarantined rows: what is
+    wrong with each, and the line or the row as JSON."""
+    missing = F.array_join(
+        F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in REQUIRED]), lambda c: c.isNotNull()), ", "
     )
-    return (
-        ledger.where(F.col(SERIES).isNotNull())
-        .select(*LEDGER.names, broken.alias("_broken"))
-        .withColumn("_rank", F.row_number().over(newest))
-        .where((F.col("_rank") == 1) & ~F.col("_broken"))
-        .dropna(subset=list(REQUIRED))
-        .drop("_rank", "_broken")
+    unreadable = F.col(CORRUPT).isNotNull()
+    row = F.to_json(F.struct(*LEDGER.names), {"ignoreNullFields": "false"})
+    return ledger_quarantine(ledger).select(
+        SERIES,
+        "generated_at",
+        F.when(unreadable, "not a ledger line").otherwise(F.concat(F.lit("missing: "), missing)).alias("error"),
+        F.when(unreadable, F.col(CORRUPT)).otherwise(row).alias("record"),
     )
