@@ -309,6 +309,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     own = docs.withColumn("_digest_of_text", digest())
     same = [own[DOC_ID].eqNullSafe(factors[mine[0]]), own["_digest_of_text"] == factors[mine[1]]]
     inside = "exists(_parse_factors, f -> i >= f.start and i < f.start + f.words)"
-    words = f"filter(regexp_extract_all({TEXT}, '[^{SPACES}]+', 0), (w, i) -> not {inside})"
+    words = f"filter(regexp_extract_all({TEXT}, r'[^{SPACES}]+', 0), (w, i) -> not {inside})"
     left = F.when(F.col(mine[2]).isNotNull(), F.expr(f"array_join({words}, ' ')")).otherwise(F.col(TEXT))
     return own.join(factors, same, "left").withColumn(TEXT, left).select(*docs.columns)
